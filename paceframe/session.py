@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -36,3 +37,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="paceframe-ckpt-"))
     else:
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder for a written table, below the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
