@@ -56,11 +56,11 @@ def _as_array(cents: DataFrame, *cols: str) -> Column:
 
 def assign_nearest(df: DataFrame, cents: DataFrame, cluster: str = "cluster", vec: str = "vec", name: str = "assigned") -> DataFrame:
     """Cluster of the nearest centroid, the smaller id on ties."""
-    listed = _as_array(cents, cluster, "centroid")
     scored = F.transform(
-        listed, lambda c: F.struct(sq_distance(F.col(vec), c["centroid"]).alias("d"), c[cluster].alias("k"))
+        "__cents", lambda c: F.struct(sq_distance(F.col(vec), c["centroid"]).alias("d"), c[cluster].alias("k"))
     )
-    return df.withColumn(name, F.array_min(scored)["k"])
+    listed = df.withColumn("__cents", _as_array(cents, cluster, "centroid"))
+    return listed.withColumn(name, F.array_min(scored)["k"]).drop("__cents")
 
 
 def _spread(df: DataFrame, cluster: str, vec: str) -> DataFrame:
@@ -81,8 +81,8 @@ def calinski_harabasz(df: DataFrame, cluster: str = "cluster", vec: str = "vec")
     mean = s.agg(
         vector_to_array(Summarizer.mean(array_to_vector("centroid"), F.col("size").cast("double"))).alias("m")
     ).select("m").scalar()
-    t = s.agg(
-        F.sum(F.col("size") * sq_distance("centroid", mean)).alias("b"), F.sum("within").alias("w"),
+    t = s.withColumn("__mean", mean).agg(
+        F.sum(F.col("size") * sq_distance("centroid", "__mean")).alias("b"), F.sum("within").alias("w"),
         F.count(F.lit(1)).alias("k"), F.sum("size").alias("n"),
     )
     return t.select(
@@ -93,12 +93,12 @@ def calinski_harabasz(df: DataFrame, cluster: str = "cluster", vec: str = "vec")
 def davies_bouldin(df: DataFrame, cluster: str = "cluster", vec: str = "vec") -> DataFrame:
     """Mean over clusters of the worst (s_i + s_j) / d_ij."""
     s = _spread(df, cluster, vec)
-    listed = _as_array(s, cluster, "centroid", "mean_distance")
-    others = F.filter(listed, lambda o: o[cluster] != F.col(cluster))
+    others = F.filter("__all", lambda o: o[cluster] != F.col(cluster))
     worst = F.array_max(F.transform(
         others, lambda o: (F.col("mean_distance") + o["mean_distance"]) / euclid(F.col("centroid"), o["centroid"])
     ))
-    return s.agg(F.avg(worst).alias("davies_bouldin"))
+    listed = s.withColumn("__all", _as_array(s, cluster, "centroid", "mean_distance"))
+    return listed.agg(F.avg(worst).alias("davies_bouldin"))
 
 
 def silhouette_samples(
@@ -131,10 +131,10 @@ def silhouette_squared(df: DataFrame, cluster: str = "cluster", vec: str = "vec"
     """
     s = _spread(df, cluster, vec).withColumn("var", F.col("within") / F.col("size"))
     listed = _as_array(s, cluster, "centroid", "size", "var")
-    means = F.transform(listed, lambda c: F.struct(
+    means = F.transform("__all", lambda c: F.struct(
         c[cluster].alias("k"), c["size"].alias("n"), (sq_distance(F.col(vec), c["centroid"]) + c["var"]).alias("m")
     ))
-    rows = df.where(F.col(cluster).isNotNull()).select(cluster, means.alias("__m"))
+    rows = df.where(F.col(cluster).isNotNull()).withColumn("__all", listed).select(cluster, means.alias("__m"))
     own = F.get(F.filter("__m", lambda c: c["k"] == F.col(cluster)), F.lit(0))
     b = F.array_min(F.transform(F.filter("__m", lambda c: c["k"] != F.col(cluster)), lambda c: c["m"]))
     a = own["m"] * own["n"] / (own["n"] - 1)

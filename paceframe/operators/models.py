@@ -1,8 +1,302 @@
-"""placeholder"""
-from pyspark.sql import DataFrame
+"""Fitting, tuning, ranking and applying Spark ML models.
+
+Training rows are assembled once and persisted for the loop over estimators;
+every fit, cross-validation and metric is a distributed job, and only metric
+rows and fitted models reach the driver.
+"""
+
+from __future__ import annotations
+
+import itertools
+import logging
+import math
+import time
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
+
+from pyspark import StorageLevel
+from pyspark.ml import Model
+from pyspark.ml.base import Estimator
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import (
+    DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
+)
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .metrics import binary_metrics, overfit_table, rank_models, roc_auc
 from .neighbors import knn_join
+from .split import hash_folds, sample_share, stratified_folds
+
+log = logging.getLogger(__name__)
+
+DEEPEST = 30  # the depth limit of Spark trees stands for "no limit"
+
+# Defaults of the estimators. The boosting presets take the public
+# default rate and depth of the three well-known boosting libraries they stand for.
+DEFAULTS: dict[str, dict] = {
+    "linear": {}, "ridge": {"alpha": 1.0}, "lasso": {"alpha": 1.0}, "elastic_net": {"alpha": 1.0},
+    "decision_tree": {"depth": 10}, "random_forest": {"rounds": 100, "depth": None},
+    "gradient_boosting": {"rounds": 100, "step": 0.1, "depth": 3},
+    "boosting_depthwise": {"rounds": 100, "step": 0.3, "depth": 6},
+    "boosting_leafwise": {"rounds": 100, "step": 0.1, "leaves": 31},
+    "boosting_oblivious": {"rounds": 100, "step": 0.03, "depth": 6},
+    "logistic_regression": {"c": 1.0, "max_iter": 1000},
+}
+REGRESSORS = (
+    "linear", "ridge", "lasso", "elastic_net", "decision_tree", "random_forest", "gradient_boosting",
+    "boosting_depthwise", "boosting_leafwise", "boosting_oblivious",
+)
+CLASSIFIERS = (
+    "logistic_regression", "random_forest", "boosting_depthwise", "boosting_leafwise", "boosting_oblivious",
+    "gradient_boosting",
+)
+
+
+def spark_params(name: str, params: Mapping, rows: int) -> dict:
+    """Neutral hyper-parameters in terms of the Spark estimator.
+
+    Ridge and logistic penalties are per training row in Spark. Spark trees know
+    no minimum split size and boosting no leaf penalty, so those are left out.
+    """
+    out: dict = {}
+    boosting = name.startswith(("gradient", "boosting"))
+    for k, v in params.items():
+        if k == "alpha":
+            out["regParam"] = v / rows if name == "ridge" else v
+        elif k == "c":
+            out["regParam"] = 1.0 / (v * rows)
+        elif k == "max_iter":
+            out["maxIter"] = v
+        elif k == "rounds":
+            out["maxIter" if boosting else "numTrees"] = v
+        elif k == "step":
+            out["stepSize"] = v
+        elif k == "depth":
+            out["maxDepth"] = DEEPEST if v is None else v
+        elif k == "leaves":
+            out.setdefault("maxDepth", math.ceil(math.log2(v)))
+        elif k == "min_leaf":
+            out["minInstancesPerNode"] = v
+        elif k == "subsample":
+            out["subsamplingRate"] = v
+        elif k == "features":
+            out["featureSubsetStrategy"] = v
+        elif k not in ("min_split", "l2", "balanced"):
+            raise ValueError(f"unknown hyper-parameter {k}")
+    return out
+
+
+def make_estimator(
+    name: str, task: str, rows: int, seed: int = 42, label: str = "label", weight: str | None = None, **params
+) -> Estimator | None:
+    """Estimator by name with its defaults; an unknown name gives None."""
+    if name not in (REGRESSORS if task == "regression" else CLASSIFIERS):
+        return None
+    chosen = {**DEFAULTS[name], **params}
+    weighted = weight is not None and chosen.get("balanced", True)
+    common = {"featuresCol": "features", "labelCol": label, **({"weightCol": weight} if weighted else {})}
+    opts = spark_params(name, chosen, rows)
+    if name in ("linear", "ridge", "lasso", "elastic_net"):
+        mix = {"lasso": 1.0, "elastic_net": 0.5}.get(name, 0.0)
+        return LinearRegression(elasticNetParam=mix, standardization=False, **common, **opts)
+    if name == "logistic_regression":
+        return LogisticRegression(standardization=False, **common, **opts)
+    kinds: dict[tuple[str, str], Callable] = {
+        ("decision_tree", "regression"): DecisionTreeRegressor,
+        ("random_forest", "regression"): RandomForestRegressor,
+        ("random_forest", "classification"): RandomForestClassifier,
+    }
+    kind = kinds.get((name, task)) or (GBTRegressor if task == "regression" else GBTClassifier)
+    return kind(seed=seed, **common, **opts)
+
+
+def expand_grid(grid: Mapping[str, Sequence]) -> list[dict]:
+    """Every combination of a parameter grid."""
+    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+
+
+def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Feature vector column; missing values count as 0, as before scaling."""
+    ready = df.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
+    out = VectorAssembler(inputCols=list(features), outputCol="features").transform(ready)
+    return out.select(*keep, "features")
+
+
+@dataclass
+class Fitted:
+    """Models by name, their metric table, and the names of those that failed."""
+
+    models: dict[str, Model] = field(default_factory=dict)
+    table: DataFrame | None = None
+    failed: dict[str, str] = field(default_factory=dict)
+
+
+def _metric_frame(spark: SparkSession, rows: list[dict], names: Sequence[str]) -> DataFrame:
+    schema = "model string, " + ", ".join(f"{n} double" for n in names)
+    return spark.createDataFrame([tuple(r[n] for n in ("model", *names)) for r in rows], schema)
+
+
+def _loop(train: DataFrame, names: Sequence[str], build: Callable, measure: Callable) -> tuple[dict, list, dict]:
+    models, rows, failed = {}, [], {}
+    for name in names:
+        start = time.perf_counter()
+        try:
+            model = build(name).fit(train)
+            rows.append({"model": name, **measure(model), "seconds": time.perf_counter() - start})
+            models[name] = model
+        except Exception as e:  # a model that cannot be fitted must not stop the others
+            log.warning("model %s skipped: %s", name, e)
+            failed[name] = str(e)
+    return models, rows, failed
+
+
+def fit_regressors(
+    df: DataFrame, features: Sequence[str], label: str, split: str = "split", names: Sequence[str] = REGRESSORS,
+    seed: int = 42, params: Mapping[str, Mapping] | None = None,
+) -> Fitted:
+    """Fit every regressor on the train part and measure both parts."""
+    data = assemble(df.withColumn(label, F.col(label).cast("double")), features, [label, split])
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train = data.where(F.col(split) == "train")
+        n = train.count()
+        build = lambda name: make_estimator(name, "regression", n, seed, label, **(params or {}).get(name, {}))
+        measure = lambda m: overfit_table(m.transform(data), label, "prediction", split).first().asDict()
+        models, rows, failed = _loop(train, names, build, measure)
+    finally:
+        data.unpersist()
+    cols = ["r2_train", "r2_test", "mae_test", "rmse_test", "overfit_gap", "seconds"]
+    return Fitted(models, rank_models(_metric_frame(df.sparkSession, rows, cols), "r2_test"), failed)
+
+
+def classifier_metrics(model: Model, data: DataFrame, label: str) -> dict:
+    scored = model.transform(data).select(
+        label, F.col("prediction"), vector_to_array("probability").alias("p")
+    ).select(label, "prediction", F.get("p", F.lit(1)).alias("score"))
+    out = binary_metrics(scored, label, "prediction").first().asDict()
+    out.pop("rows")
+    return {**out, "roc_auc": roc_auc(scored, label, "score").first()["roc_auc"]}
+
+
+def fit_classifiers(
+    df: DataFrame, features: Sequence[str], label: str, split: str = "split", names: Sequence[str] = CLASSIFIERS,
+    seed: int = 42, weight: str | None = None, params: Mapping[str, Mapping] | None = None,
+) -> Fitted:
+    """Fit every classifier on the train part and measure F1, precision, recall and AUC on test."""
+    keep = [label, split] + ([weight] if weight else [])
+    data = assemble(df.withColumn(label, F.col(label).cast("double")), features, keep).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train, test = data.where(F.col(split) == "train"), data.where(F.col(split) == "test")
+        n = train.count()
+        build = lambda name: make_estimator(name, "classification", n, seed, label, weight, **(params or {}).get(name, {}))
+        models, rows, failed = _loop(train, names, build, lambda m: classifier_metrics(m, test, label))
+    finally:
+        data.unpersist()
+    cols = ["precision", "recall", "f1", "accuracy", "roc_auc", "seconds"]
+    return Fitted(models, rank_models(_metric_frame(df.sparkSession, rows, cols), "f1"), failed)
+
+
+def select_top(table: DataFrame, k: int = 5, rank: str = "rank") -> list[str]:
+    """Names of the k best models, fewer if there are fewer."""
+    return [r["model"] for r in table.where(F.col(rank) <= k).orderBy(rank).select("model").collect()]
+
+
+def tune(
+    df: DataFrame, features: Sequence[str], label: str, name: str, grid: Mapping[str, Sequence], key: str,
+    task: str = "regression", folds: int = 5, seed: int = 42, weight: str | None = None, parallelism: int = 2,
+) -> tuple[CrossValidatorModel, DataFrame]:
+    """Grid search with fixed folds; returns the model and one row per combination.
+
+    Folds are hash folds for regression and stratified ones for classification.
+    Combinations that are the same for Spark are fitted once.
+    """
+    folded = (
+        hash_folds(df, key, folds, seed) if task == "regression" else stratified_folds(df, key, label, folds, seed)
+    )
+    keep = [label, "fold"] + ([weight] if weight else [])
+    data = assemble(folded.withColumn(label, F.col(label).cast("double")), features, keep).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = data.count()
+        base = make_estimator(name, task, n, seed, label, weight)
+        combos: dict[tuple, dict] = {}
+        for combo in expand_grid(grid):
+            combos.setdefault(tuple(sorted(spark_params(name, combo, n).items())), combo)
+        maps = [{base.getParam(p): v for p, v in c} for c in combos]
+        score = (
+            RegressionEvaluator(labelCol=label, metricName="r2") if task == "regression"
+            else MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
+        )
+        model = CrossValidator(
+            estimator=base, estimatorParamMaps=maps, evaluator=score, numFolds=folds, foldCol="fold",
+            parallelism=parallelism, seed=seed,
+        ).fit(data)
+    finally:
+        data.unpersist()
+    rows = [
+        (i, name, {k: str(v) for k, v in combo.items()}, float(s))
+        for i, (combo, s) in enumerate(zip(combos.values(), model.avgMetrics))
+    ]
+    return model, df.sparkSession.createDataFrame(
+        rows, "combination int, model string, params map<string,string>, score double"
+    )
+
+
+def feature_importance(model: Model, features: Sequence[str], k: int = 20) -> DataFrame:
+    """Importance per feature, largest first."""
+    spark = SparkSession.active()
+    rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
+    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature").limit(k)
+
+
+def learning_curve(
+    df: DataFrame, features: Sequence[str], label: str, key: str, name: str, steps: int = 10, folds: int = 5,
+    seed: int = 42,
+) -> DataFrame:
+    """R2 on the held-out fold for growing shares of the other folds."""
+    from .metrics import regression_metrics
+    from .split import nested_subsets
+
+    data = nested_subsets(df.withColumn(label, F.col(label).cast("double")), key, steps, folds, seed)
+    data = assemble(data, features, [label, "fold", "step"]).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = []
+    try:
+        for fold, step in itertools.product(range(folds), range(1, steps + 1)):
+            train = data.where((F.col("fold") != fold) & (F.col("step") <= step))
+            n = train.count()
+            model = make_estimator(name, "regression", n, seed, label).fit(train)
+            test = model.transform(data.where(F.col("fold") == fold))
+            rows.append((fold, step, n, regression_metrics(test, label, "prediction").first()["r2"]))
+    finally:
+        data.unpersist()
+    return df.sparkSession.createDataFrame(rows, "held_out int, curve_step int, train_rows long, r2 double")
+
+
+def sample_then_full(
+    df: DataFrame, features: Sequence[str], label: str, key: str, split: str = "split",
+    names: Sequence[str] = ("ridge", "random_forest"), share: float = 0.2, seed: int = 42,
+    params: Mapping[str, Mapping] | None = None,
+) -> tuple[str, Fitted]:
+    """Compare models on a sample of the training rows, then refit the winner on all of them."""
+    train = sample_share(df.where(F.col(split) == "train"), key, share, seed)
+    first = fit_regressors(train.unionByName(df.where(F.col(split) == "test")), features, label, split, names, seed, params)
+    winner = select_top(first.table, 1)[0]
+    return winner, fit_regressors(df, features, label, split, [winner], seed, params)
+
+
+def save_model(model: Model, path: str, version: str) -> str:
+    target = f"{path}/v={version}"
+    model.write().overwrite().save(target)
+    return target
+
+
+def load_model(spark: SparkSession, path: str) -> Model:
+    return DefaultParamsReader.loadParamsInstance(path, spark)
 
 
 def knn_regress(test: DataFrame, train: DataFrame, k: int, id_col: str, label: str, vec: str = "vec") -> DataFrame:

@@ -58,9 +58,8 @@ def _blocks(df: DataFrame, keys: list[str], item: str, extra: list[str] | None =
     extra = extra or []
     packed = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(item, *extra, "vec"))).alias("b"))
     return packed.select(
-        *keys, F.transform("b", lambda x: x[item]).alias("ids"),
-        *[F.transform("b", lambda x, e=e: x[e]).alias(e) for e in extra],
-        F.flatten(F.transform("b", lambda x: x["vec"])).alias("flat"),
+        *keys, F.col(f"b.{item}").alias("ids"), *[F.col(f"b.{e}").alias(e) for e in extra],
+        F.flatten("b.vec").alias("flat"),
     )
 
 

@@ -4,7 +4,7 @@ from .registry import ORACLES, QUERIES, Query
 
 
 def _load() -> None:
-    from . import features, quality, relational, segments  # noqa: F401
+    from . import features, flows, quality, relational, segments  # noqa: F401
 
 
 def all_queries() -> dict[str, Query]:
