@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialise
 from .joins import left_join
 from .neighbors import BLOCK_ROWS, knn_join
 from .quantiles import EXACT_ROWS, column_quantiles
@@ -122,11 +122,10 @@ def lof_scores(
 ) -> DataFrame:
     """Negative local outlier factor per row (about -1 is normal).
 
-    The neighbour table feeds three joins, so it is checkpointed once instead of
-    being computed three times.
+    The neighbour table feeds three joins, so it is written once instead of being
+    computed three times.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    near = knn_join(df, df, k, id_col, vec, exclude_self=True, block_rows=block_rows).checkpoint()
+    near = materialise(knn_join(df, df, k, id_col, vec, exclude_self=True, block_rows=block_rows))
     reach_of = near.groupBy("id").agg(F.max("distance").alias("k_distance"))
     reach = near.join(reach_of.withColumnRenamed("id", "neighbor_id"), "neighbor_id")
     density = reach.groupBy("id").agg(

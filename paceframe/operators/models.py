@@ -58,17 +58,22 @@ CLASSIFIERS = (
 )
 
 
-def spark_params(name: str, params: Mapping, rows: int) -> dict:
+def spark_params(name: str, params: Mapping, rows: int, label_std: float = 1.0) -> dict:
     """Neutral hyper-parameters in terms of the Spark estimator.
 
-    Ridge and logistic penalties are per training row in Spark. Spark trees know
-    no minimum split size and boosting no leaf penalty, so those are left out.
+    Ridge and logistic penalties are per training row in Spark, and its linear
+    regression divides the squared penalty (not the absolute one) by the standard
+    deviation of the label. Spark trees know no minimum split size and boosting
+    no leaf penalty, so those are left out.
     """
     out: dict = {}
     boosting = name.startswith(("gradient", "boosting"))
     for k, v in params.items():
         if k == "alpha":
-            out["regParam"] = v / rows if name == "ridge" else v
+            absolute = {"ridge": 0.0, "lasso": v, "elastic_net": 0.5 * v}[name]
+            squared = {"ridge": v / rows, "lasso": 0.0, "elastic_net": 0.5 * v}[name] * label_std
+            total = absolute + squared
+            out["regParam"], out["elasticNetParam"] = total, (absolute / total if total else 0.0)
         elif k == "c":
             out["regParam"] = 1.0 / (v * rows)
         elif k == "max_iter":
@@ -93,7 +98,8 @@ def spark_params(name: str, params: Mapping, rows: int) -> dict:
 
 
 def make_estimator(
-    name: str, task: str, rows: int, seed: int = 42, label: str = "label", weight: str | None = None, **params
+    name: str, task: str, rows: int, seed: int = 42, label: str = "label", weight: str | None = None,
+    label_std: float = 1.0, **params,
 ) -> Estimator | None:
     """Estimator by name with its defaults; an unknown name gives None."""
     if name not in (REGRESSORS if task == "regression" else CLASSIFIERS):
@@ -101,10 +107,9 @@ def make_estimator(
     chosen = {**DEFAULTS[name], **params}
     weighted = weight is not None and chosen.get("balanced", True)
     common = {"featuresCol": "features", "labelCol": label, **({"weightCol": weight} if weighted else {})}
-    opts = spark_params(name, chosen, rows)
+    opts = spark_params(name, chosen, rows, label_std)
     if name in ("linear", "ridge", "lasso", "elastic_net"):
-        mix = {"lasso": 1.0, "elastic_net": 0.5}.get(name, 0.0)
-        return LinearRegression(elasticNetParam=mix, standardization=False, **common, **opts)
+        return LinearRegression(standardization=False, **common, **opts)
     if name == "logistic_regression":
         return LogisticRegression(standardization=False, **common, **opts)
     kinds: dict[tuple[str, str], Callable] = {
@@ -128,6 +133,11 @@ def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -
     return out.select(*keep, "features")
 
 
+def _size_and_spread(df: DataFrame, label: str) -> tuple[int, float]:
+    row = df.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("s")).first()
+    return row["n"], row["s"] or 1.0
+
+
 @dataclass
 class Fitted:
     """Models by name, their metric table, and the names of those that failed."""
@@ -165,8 +175,9 @@ def fit_regressors(
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train = data.where(F.col(split) == "train")
-        n = train.count()
-        build = lambda name: make_estimator(name, "regression", n, seed, label, **(params or {}).get(name, {}))
+        n, spread = _size_and_spread(train, label)
+        build = lambda name: make_estimator(
+            name, "regression", n, seed, label, label_std=spread, **(params or {}).get(name, {}))
         measure = lambda m: overfit_table(m.transform(data), label, "prediction", split).first().asDict()
         models, rows, failed = _loop(train, names, build, measure)
     finally:
@@ -222,11 +233,11 @@ def tune(
     keep = [label, "fold"] + ([weight] if weight else [])
     data = assemble(folded.withColumn(label, F.col(label).cast("double")), features, keep).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = data.count()
-        base = make_estimator(name, task, n, seed, label, weight)
+        n, spread = _size_and_spread(data, label)
+        base = make_estimator(name, task, n, seed, label, weight, spread)
         combos: dict[tuple, dict] = {}
         for combo in expand_grid(grid):
-            combos.setdefault(tuple(sorted(spark_params(name, combo, n).items())), combo)
+            combos.setdefault(tuple(sorted(spark_params(name, combo, n, spread).items())), combo)
         maps = [{base.getParam(p): v for p, v in c} for c in combos]
         score = (
             RegressionEvaluator(labelCol=label, metricName="r2") if task == "regression"
@@ -268,8 +279,8 @@ def learning_curve(
     try:
         for fold, step in itertools.product(range(folds), range(1, steps + 1)):
             train = data.where((F.col("fold") != fold) & (F.col("step") <= step))
-            n = train.count()
-            model = make_estimator(name, "regression", n, seed, label).fit(train)
+            n, spread = _size_and_spread(train, label)
+            model = make_estimator(name, "regression", n, seed, label, label_std=spread).fit(train)
             test = model.transform(data.where(F.col("fold") == fold))
             rows.append((fold, step, n, regression_metrics(test, label, "prediction").first()["r2"]))
     finally:

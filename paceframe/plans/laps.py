@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 
 from ..operators import clean, encode, features, impute, joins, profile
 from ..operators.quantiles import medians
+from ..session import materialise
 
 CODED = ("lap_group", "grid_group", "altitude_cat", "team_circuit_id", "year_group")
 
 
 def clean_laps(df: DataFrame, target: str = "milliseconds", keep_text: Sequence[str] = ()) -> DataFrame:
     """Distinct rows with a target, medians for numbers, 'Unknown' for text, no 3-IQR outliers."""
-    df = clean.keep_present(df.dropDuplicates(), target)
+    df = materialise(clean.keep_present(df.dropDuplicates(), target))
     numbers = [c for c in clean.numeric_columns(df) if c != target]
     df = impute.fill_median(df, numbers, medians(df, numbers))
     return profile.drop_outliers_iqr(impute.fill_unknown(df), target)
@@ -23,7 +24,7 @@ def clean_laps(df: DataFrame, target: str = "milliseconds", keep_text: Sequence[
 def prepare(tables: Mapping[str, DataFrame], target: str = "milliseconds") -> DataFrame:
     """Model-ready lap rows: candidate features with coded categories, and the target."""
     df = joins.assemble_laps(tables["laps"], tables["results"], tables["calendar"], tables["circuits"])
-    df = features.lap_features(clean_laps(df, target))
+    df = materialise(features.lap_features(clean_laps(df, target)))
     for c in CODED:
         df = encode.apply_labels(df, encode.fit_labels(df, c), c)
     return clean.select_candidates(df, features.LAP_CANDIDATES, also=[target])

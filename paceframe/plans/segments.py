@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import anomaly, cluster, scale
+from ..session import materialise
 
 
 def scaled_vectors(df: DataFrame, cols: Sequence[str], name: str = "vec") -> DataFrame:
@@ -43,7 +44,7 @@ def sweep(
     ``exact`` uses the Euclid silhouette, quadratic in the rows and meant for
     entity tables; otherwise the squared one, which is linear.
     """
-    out = None
+    df, out = materialise(df), None
     for k in ks:
         labelled = label_rows(fit_kmeans(df, k, vec, seed, restarts), df, vec)
         row = cluster.quality_row(labelled, id_col, "cluster", vec, exact).withColumn("k", F.lit(k))
@@ -53,6 +54,7 @@ def sweep(
 
 def hierarchical_check(df: DataFrame, id_col: str, k: int = 4, vec: str = "vec", seed: int = 42) -> DataFrame:
     """Silhouette of top-down hierarchical clusters beside k-means."""
+    df = materialise(df)
     top_down = BisectingKMeans(k=k, seed=seed).fit(df.select(array_to_vector(vec).alias("features")))
     a = cluster.silhouette(label_rows(top_down, df, vec), id_col, "cluster", vec).withColumn("method", F.lit("bisecting"))
     b = cluster.silhouette(label_rows(fit_kmeans(df, k, vec, seed), df, vec), id_col, "cluster", vec)
@@ -63,7 +65,7 @@ def train_segments(
     profiles: DataFrame, cols: Sequence[str], k: int = 3, seed: int = 42, restarts: int = 10
 ) -> tuple[KMeansModel, DataFrame]:
     """Model and profiles with cluster, scaled vector and two principal components."""
-    df = scaled_vectors(profiles, cols)
+    df = materialise(scaled_vectors(materialise(profiles), cols))
     model = fit_kmeans(df, k, "vec", seed, restarts)
     labelled = label_rows(model, df)
     wide = labelled.select("*", *[F.get("vec", F.lit(i)).alias(f"__s_{i}") for i in range(len(cols))])
@@ -79,17 +81,13 @@ def evaluate_segments(labelled: DataFrame, id_col: str, cols: Sequence[str]) ->
 def detect_anomalies(labelled: DataFrame, id_col: str, seed: int = 42, neighbours: int = 20) -> DataFrame:
     """Isolation, distance and density flags with their vote.
 
-    Each step adds columns to a table keyed by entity; it is written to the
-    shared checkpoint folder before the vote, because later steps fit
-    thresholds on earlier columns.
+    Later steps fit thresholds on the columns of earlier ones, so the table is
+    written between them.
     """
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(labelled.sparkSession)
-    df = anomaly.isolation_scores(labelled, id_col, seed=seed)
+    df = materialise(anomaly.isolation_scores(labelled, id_col, seed=seed))
     df = anomaly.flag_lowest(df, "isolation_score", name="is_anomaly_isolation")
     df = cluster.distance_to_centroid(df, cluster.centroids(df), name="distance_to_centroid")
-    df = cluster.distance_outliers(df, distance="distance_to_centroid", name="is_anomaly_distance").checkpoint()
-    df = anomaly.lof_scores(df, id_col, k=neighbours)
+    df = cluster.distance_outliers(df, distance="distance_to_centroid", name="is_anomaly_distance")
+    df = materialise(anomaly.lof_scores(materialise(df), id_col, k=neighbours))
     df = anomaly.flag_lowest(df, "lof_score", name="is_anomaly_lof")
     return anomaly.consensus(df, ("is_anomaly_isolation", "is_anomaly_distance", "is_anomaly_lof"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -43,3 +43,14 @@ def scratch_folder(spark: SparkSession) -> str:
     """A new folder for a written table, below the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write a table once to the shared folder and read it back.
+
+    Fits scan their input several times. A written table cuts the lineage, keeps
+    column pruning, survives lost executors, and gives later joins its true size.
+    """
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
