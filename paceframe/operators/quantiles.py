@@ -19,7 +19,9 @@ ACCURACY = 20_000
 
 
 def _plain(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by).agg(*[F.percentile(value, p).alias(n) for p, n in zip(probs, names)])
+    # one percentile call for all ranks: one value map per group
+    q = df.groupBy(*by).agg(F.percentile(value, list(probs)).alias("__q"))
+    return q.select(*by, *[F.get("__q", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
 def _bracketed(

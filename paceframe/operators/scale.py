@@ -73,6 +73,12 @@ def fit_robust(train: DataFrame, cols: Sequence[str], exact_rows: int = EXACT_RO
 def fit_dual(train: DataFrame, minmax: Sequence[str], standard: Sequence[str]) -> Scaler:
     """Min-max for one list of columns and standard for another, where they exist."""
     have = set(train.columns)
-    a = fit_minmax(train, [c for c in minmax if c in have])
-    b = fit_standard(train, [c for c in standard if c in have])
-    return Scaler({**a.centre, **b.centre}, {**a.width, **b.width})
+    low, mid = [c for c in minmax if c in have], [c for c in standard if c in have]
+    if not low and not mid:
+        return Scaler({}, {})
+    row = train.agg(
+        *[f(c).alias(f"{n}_{c}") for c in low for n, f in (("a", F.min), ("b", F.max))],
+        *[f(c).alias(f"{n}_{c}") for c in mid for n, f in (("m", F.avg), ("s", F.stddev_pop))],
+    ).first()
+    stats = {c: (row[f"a_{c}"], None if row[f"a_{c}"] is None else row[f"b_{c}"] - row[f"a_{c}"]) for c in low}
+    return _scaler({**stats, **{c: (row[f"m_{c}"], row[f"s_{c}"]) for c in mid}})

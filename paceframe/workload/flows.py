@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cluster, entity, metrics, models, split
 from ..plans import classification, laps, regression, scoring, segments
+from ..session import materialise
 from . import roles as R
 from .registry import query, rounded, sql6
 from .relational import regression_rows
@@ -146,7 +147,7 @@ _SCORE_ROLES = ("results", "schedule", "qualifying", "team_standings", "circuits
 
 
 def _score_setup(spark, sf):
-    rows = regression_rows(spark, sf)
+    rows = materialise(regression_rows(spark, sf))
     ready = scoring.clean.with_defaults(rows, {"grid": "quali_position", "quali_position": "grid"}, {})
     train = scoring.features.advanced_features(ready).where(
         (F.col("result_id") % 5 != 0) & F.col("position").isNotNull()
