@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 BLOCK_ROWS = 1_024
 MAX_CELLS = 512
 _PAIR_CHUNK = 65_536
@@ -110,6 +112,7 @@ def knn_join(
         .groupBy("vec").agg(F.sort_array(F.collect_list("bid")).alias("ids"))
         .withColumn("bid", F.get("ids", F.lit(0)))
     )
+    bvec = materialise(bvec)
     qvec = q.groupBy("vec").agg(F.min("qid").alias("qid"))
 
     n = bvec.count()
@@ -205,15 +208,17 @@ def cluster_distance_sums(
     rows = df.select(
         F.col(id_col).alias("rid"), F.col(vec_col).cast("array<double>").alias("vec"), F.col(cluster).alias("own")
     ).dropna()
-    items = rows.groupBy("vec", "own").agg(F.min("rid").alias("rid"), F.count(F.lit(1)).cast("double").alias("copies"))
+    items = materialise(
+        rows.groupBy("vec", "own").agg(F.min("rid").alias("rid"), F.count(F.lit(1)).cast("double").alias("copies"))
+    )
     sizes = items.groupBy("own").agg(F.count(F.lit(1)).alias("items"), F.sum("copies").alias("size"))
     parts = sizes.select(
         "own", "size", F.ceil(F.col("items") / F.lit(block_rows)).cast("int").alias("parts")
     )
-    blocks = _blocks(
+    blocks = materialise(_blocks(
         items.join(parts, "own").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int")),
         ["own", "part"], "rid", ["copies"],
-    )
+    ))
     # the list of blocks has one entry per block_rows vectors
     targets = parts.select("own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     listed = targets.agg(F.collect_list(F.struct("own", "part")).alias("t")).select("t").scalar()

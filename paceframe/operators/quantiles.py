@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .joins import left_join
 
-EXACT_ROWS = 2_000_000
+EXACT_ROWS = 250_000
 ACCURACY = 20_000
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import clean, encode, features, history, joins, scale, split
+from ..session import materialise
 from ..sources import tables as src
 from . import roles as R
 from .registry import query, r6, rounded, sql6
@@ -140,11 +141,17 @@ def prediction_interval(spark, sf):
 # --- history -------------------------------------------------------------------
 
 def podium_rows(spark, sf):
-    return clean.podium_target(R.results(spark, sf)).select(
-        "result_id", "race_id", "driver_id", "team_id", "date", "year", "is_podium", "position_original"
+    return clean.podium_target(R.entries(spark, sf)).select(
+        "result_id", "race_id", "driver_id", "date", "year", "is_podium", "position_original"
     )
 
 
+def team_podium_rows(spark, sf):
+    return materialise(clean.podium_target(R.results(spark, sf)).select(
+        "result_id", "race_id", "team_id", "date", "year", "is_podium"
+    ))
+
+
 _POD = "h AS (SELECT *, cast(position <= 3 AS INTEGER) AS is_podium FROM results WHERE position IS NOT NULL)"
 _ORD = "ORDER BY date, race_id, result_id ROWS BETWEEN {0} PRECEDING AND 1 PRECEDING"
 
@@ -181,13 +188,13 @@ def hist_season_wins(spark, sf):
 @query("hist_team_last5", _history_sql(
     f"coalesce(sum(is_podium) {_over('team_id', '5')}, 0)::DOUBLE AS team_podiums_last_5"))
 def hist_team_last5(spark, sf):
-    return history.team_history(podium_rows(spark, sf)).select("result_id", "team_podiums_last_5")
+    return history.team_history(team_podium_rows(spark, sf)).select("result_id", "team_podiums_last_5")
 
 
 @query("hist_team_season_rate", _history_sql(
     sql6(f"coalesce(avg(is_podium) {_over('team_id, year')}, 0)", "team_podium_rate_season")))
 def hist_team_season_rate(spark, sf):
-    return rounded(history.team_history(podium_rows(spark, sf)).select("result_id", "team_podium_rate_season"))
+    return rounded(history.team_history(team_podium_rows(spark, sf)).select("result_id", "team_podium_rate_season"))
 
 
 @query("hist_team_events", with_roles(f"""
@@ -198,7 +205,7 @@ w AS (SELECT *, coalesce(sum(p) OVER (PARTITION BY team_id ORDER BY date, race_i
 SELECT result_id, l5::DOUBLE AS team_podiums_last_5, {sql6('rate', 'team_podium_rate_season')}
 FROM h JOIN w ON h.team_id = w.team_id AND h.race_id = w.race_id""", "results"))
 def hist_team_events(spark, sf):
-    df = history.team_history(podium_rows(spark, sf), unit="event")
+    df = history.team_history(team_podium_rows(spark, sf), unit="event")
     return rounded(df.select("result_id", "team_podiums_last_5", "team_podium_rate_season"))
 
 
@@ -215,7 +222,7 @@ def season_progress(spark, sf):
 SELECT race_id, driver_id, lap, milliseconds, {sql6('lap / max(lap) OVER (PARTITION BY race_id) * 100', 'lap_pct')}
 FROM laps""", "laps"))
 def lap_pct(spark, sf):
-    df = joins.attach_group_stats(R.laps(spark, sf), "race_id", {"top": F.max("lap")}, null_safe=True)
+    df = joins.attach_group_stats(materialise(R.laps(spark, sf)), "race_id", {"top": F.max("lap")}, null_safe=True)
     return df.select("race_id", "driver_id", "lap", "milliseconds", r6(F.col("lap") / F.col("top") * 100.0).alias("lap_pct"))
 
 
@@ -255,7 +262,7 @@ FROM results r LEFT JOIN schedule s ON r.race_id = s.race_id
 LEFT JOIN qualifying q ON r.race_id = q.race_id AND r.driver_id = q.driver_id
 LEFT JOIN drivers d ON r.driver_id = d.driver_id""", "results", "schedule", "qualifying", "drivers"))
 def qualifying_temporal(spark, sf):
-    df = features.qualifying_temporal(classification_rows(spark, sf))
+    df = features.qualifying_temporal(materialise(classification_rows(spark, sf)))
     names = ["quali_position_top3", "quali_position_top5", "season_progress", "is_season_start", "is_season_end"]
     names += [f"{q}_ms" for q in ("q1", "q2", "q3")] + [f"has_{q}" for q in ("q1", "q2", "q3")]
     return rounded(df.select("result_id", F.col("driver_age").cast("bigint").alias("driver_age"), *names))
@@ -278,7 +285,7 @@ SELECT race_id, driver_id, lap, milliseconds, {_band_sql('done', *features.LAP_B
   {_band_sql('year', *features.YEAR_BANDS)} AS year_group,
   {sql6('lap * alt / 1000', 'lap_altitude_interaction')}, {sql6('done * 100', 'lap_pct')} FROM p""", *LAP_ROLES))
 def lap_features(spark, sf):
-    df = features.lap_features(lap_rows(spark, sf))
+    df = features.lap_features(materialise(lap_rows(spark, sf)))
     return rounded(df.select(
         "race_id", "driver_id", "lap", "milliseconds", "lap_group", "grid_group", "lap_squared", "altitude_cat",
         "team_circuit_id", "year_group", "lap_altitude_interaction", "lap_pct",
@@ -301,12 +308,12 @@ def select_features(spark, sf):
 
 def _train_entries(spark, sf):
     return split.split_temporal(
-        R.results(spark, sf).where(F.col("position").isNotNull()), "date", CUT
+        R.entries(spark, sf).where(F.col("position").isNotNull()), "date", CUT
     )
 
 
-_TRAIN = f"""t AS (SELECT result_id, driver_id, team_id, grid, position, laps, points, round,
-  CASE WHEN date < DATE '{CUT}' THEN 'train' ELSE 'test' END AS split FROM results WHERE position IS NOT NULL)"""
+_TRAIN = f"""t AS (SELECT result_id, driver_id, grid, position, laps, points, round,
+  CASE WHEN date < DATE '{CUT}' THEN 'train' ELSE 'test' END AS split FROM entries WHERE position IS NOT NULL)"""
 
 
 def _encoded(spark, sf, method, smoothing, leaf):
@@ -321,7 +328,7 @@ def _encoded(spark, sf, method, smoothing, leaf):
 WITH {_TRAIN}, p AS (SELECT avg(position) AS prior FROM t WHERE split = 'train'),
 f AS (SELECT driver_id, avg(position) AS m, 1 / (1 + exp(-(count(*) - 5.0::DOUBLE) / 2.0::DOUBLE)) AS w FROM t WHERE split = 'train' GROUP BY 1)
 SELECT result_id, split, {sql6('coalesce(w * m + (1 - w) * prior, prior)', 'driver_encoded')}
-FROM t CROSS JOIN p LEFT JOIN f ON t.driver_id = f.driver_id""", "results"))
+FROM t CROSS JOIN p LEFT JOIN f ON t.driver_id = f.driver_id""", "entries"))
 def target_encode_sigmoid(spark, sf):
     return _encoded(spark, sf, "sigmoid", 2.0, 5.0)
 
@@ -330,7 +337,7 @@ def target_encode_sigmoid(spark, sf):
 WITH {_TRAIN}, p AS (SELECT avg(position) AS prior FROM t WHERE split = 'train'),
 f AS (SELECT driver_id, sum(position) AS s, count(*) AS n FROM t WHERE split = 'train' GROUP BY 1)
 SELECT result_id, split, {sql6('coalesce((s + 3.0::DOUBLE * prior) / (n + 3.0::DOUBLE), prior)', 'driver_encoded')}
-FROM t CROSS JOIN p LEFT JOIN f ON t.driver_id = f.driver_id""", "results"))
+FROM t CROSS JOIN p LEFT JOIN f ON t.driver_id = f.driver_id""", "entries"))
 def target_encode_additive(spark, sf):
     return _encoded(spark, sf, "additive", 3.0, 0.0)
 
@@ -348,7 +355,7 @@ WITH v AS (SELECT DISTINCT coalesce(q2, 'nan') AS value FROM qualifying),
 c AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS code FROM v)
 SELECT race_id, driver_id, code AS q2_code FROM qualifying JOIN c ON coalesce(q2, 'nan') = value""", "qualifying"))
 def label_encode(spark, sf):
-    df = R.qualifying(spark, sf).select("race_id", "driver_id", "q2")
+    df = materialise(R.qualifying(spark, sf).select("race_id", "driver_id", "q2"))
     return encode.apply_labels(df, encode.fit_labels(df, "q2"), "q2", "q2_code").drop("q2")
 
 
@@ -368,7 +375,7 @@ def _scale_sql(centre: str, width: str) -> str:
         sql6(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END", c) for c in _SCALE_COLS)
     return with_roles(
         f"WITH {_TRAIN}, s AS (SELECT {stats} FROM t WHERE split = 'train') SELECT result_id, split, {cols} FROM t CROSS JOIN s",
-        "results")
+        "entries")
 
 
 @query("scale_standard", _scale_sql("avg({0})", "stddev_pop({0})"))
@@ -389,7 +396,7 @@ def scale_robust(spark, sf):
 
 @query("scale_dual", with_roles(f"""
 WITH {_TRAIN}, s AS (SELECT min(grid) AS a, max(grid) - min(grid) AS b, avg(laps) AS m, stddev_pop(laps) AS d FROM t WHERE split = 'train')
-SELECT result_id, split, {sql6('(grid - a) / b', 'grid')}, {sql6('(laps - m) / d', 'laps')}, points FROM t CROSS JOIN s""", "results"))
+SELECT result_id, split, {sql6('(grid - a) / b', 'grid')}, {sql6('(laps - m) / d', 'laps')}, points FROM t CROSS JOIN s""", "entries"))
 def scale_dual(spark, sf):
     return _scaled(spark, sf, lambda t: scale.fit_dual(t, ["grid", "round"], ["laps", "lat"]))
 

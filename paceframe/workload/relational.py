@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ..functions import scalars as S
 from ..operators import clean, entity, impute, joins, quantiles
 from ..plans.defaults import CLASSIFICATION_LEAKS, REGRESSION_LEAKS, TEXT_KEPT
-from ..session import scratch_folder
+from ..session import materialise, scratch_folder
 from ..sources import tables as src
 from . import roles as R
 from .registry import query, r6, rounded, sql6
@@ -288,7 +288,8 @@ LEFT JOIN (SELECT driver_id, arg_min(team_id, -n * 1000 + team_id) AS main_partn
 LEFT JOIN (SELECT driver_id, avg(position) AS avg_quali_position FROM qualifying GROUP BY 1) q ON a.driver_id = q.driver_id
 LEFT JOIN drivers d ON a.driver_id = d.driver_id""", "results", "drivers", "qualifying"))
 def driver_features_ext(spark, sf):
-    return rounded(entity.driver_features_ext(R.results(spark, sf), R.drivers(spark, sf), R.qualifying(spark, sf), 12))
+    facts = materialise(R.results(spark, sf))
+    return rounded(entity.driver_features_ext(facts, R.drivers(spark, sf), R.qualifying(spark, sf), 12))
 
 
 @query("driver_features_legacy", with_roles(f"""
@@ -309,7 +310,7 @@ LEFT JOIN (SELECT driver_id, avg(position) AS avg_quali_position FROM qualifying
 LEFT JOIN drivers d ON a.driver_id = d.driver_id""", "results", "drivers", "qualifying"))
 def driver_features_legacy(spark, sf):
     return rounded(
-        entity.driver_features_legacy(R.results(spark, sf), R.drivers(spark, sf), R.qualifying(spark, sf), 10)
+        entity.driver_features_legacy(materialise(R.results(spark, sf)), R.drivers(spark, sf), R.qualifying(spark, sf), 10)
     )
 
 
@@ -483,11 +484,14 @@ def entry_quali(spark, sf):
     )
 
 
+# Fits and group statistics read their input more than once, so a joined input is written first.
+
+
 @query("impute_proxy_median", with_roles(f"""
 WITH f AS (SELECT result_id, coalesce(q.position, e.grid)::DOUBLE AS v FROM {_QUALI_JOIN})
 SELECT result_id, coalesce(v, (SELECT median(v) FROM f)) AS quali_position FROM f""", "entries", "qualifying"))
 def impute_proxy_median(spark, sf):
-    df = entry_quali(spark, sf).select("result_id", "grid", "quali_position")
+    df = materialise(entry_quali(spark, sf).select("result_id", "grid", "quali_position"))
     return impute.fill_proxy_then_median(df, "quali_position", "grid").select("result_id", "quali_position")
 
 
@@ -495,7 +499,7 @@ def impute_proxy_median(spark, sf):
 WITH f AS (SELECT result_id, coalesce(q.position, 1 + max(q.position) OVER (PARTITION BY e.race_id)) AS v FROM {_QUALI_JOIN})
 SELECT result_id, coalesce(v, 1 + (SELECT max(v) FROM f)) AS quali_position FROM f""", "entries", "qualifying"))
 def impute_group_max_plus1(spark, sf):
-    df = entry_quali(spark, sf).select("result_id", "race_id", "quali_position")
+    df = materialise(entry_quali(spark, sf).select("result_id", "race_id", "quali_position"))
     return impute.fill_group_max_plus1(df, "quali_position", "race_id").select("result_id", "quali_position")
 
 
@@ -515,10 +519,10 @@ SELECT result_id, coalesce(grid, (SELECT median(grid) FROM f)) AS grid,
   coalesce(dob, make_timestamp((SELECT cast(floor(median(epoch_us(dob))) AS BIGINT) FROM f))) AS dob FROM f""",
     "entries", "drivers"))
 def impute_median(spark, sf):
-    df = joins.left_join(
+    df = materialise(joins.left_join(
         R.entries(spark, sf).select("result_id", "driver_id", "grid", "position"), R.drivers(spark, sf), "driver_id",
         ["dob"],
-    ).withColumn("dob", S.to_moment("dob"))
+    ).withColumn("dob", S.to_moment("dob")))
     return impute.fill_median(df, ["grid", "position", "dob"]).drop("driver_id")
 
 
