@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import digest_number
+from ..session import materialise
 from .joins import left_join
 
 ROWS_PER_BIN = 1_000_000
@@ -64,6 +65,8 @@ def running_totals(
     names. Rows are few per value because the caller aggregates ties first.
     """
     bins = bins_for(df.count(), rows_per_bin)
+    if bins > 1:
+        df = materialise(df)
     cut = with_bin(df, order, cut_points(df, order, bins))
     direction = F.col(order).desc() if descending else F.col(order).asc()
     inner = (
