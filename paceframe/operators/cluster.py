@@ -7,6 +7,7 @@ measures that compare clusters with each other read them as one array.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -94,9 +95,9 @@ def davies_bouldin(df: DataFrame, cluster: str = "cluster", vec: str = "vec") ->
     """Mean over clusters of the worst (s_i + s_j) / d_ij."""
     s = _spread(df, cluster, vec)
     others = F.filter("__all", lambda o: o[cluster] != F.col(cluster))
-    worst = F.array_max(F.transform(
-        others, lambda o: (F.col("mean_distance") + o["mean_distance"]) / euclid(F.col("centroid"), o["centroid"])
-    ))
+    # clusters with the same centroid have no ratio and count as 0
+    worst = F.array_max(F.transform(others, lambda o: F.coalesce(F.try_divide(
+        F.col("mean_distance") + o["mean_distance"], euclid(F.col("centroid"), o["centroid"])), F.lit(0.0))))
     listed = s.withColumn("__all", _as_array(s, cluster, "centroid", "mean_distance"))
     return listed.agg(F.avg(worst).alias("davies_bouldin"))
 
@@ -144,14 +145,16 @@ def silhouette_squared(df: DataFrame, cluster: str = "cluster", vec: str = "vec"
 
 def quality_row(df: DataFrame, id_col: str, cluster: str = "cluster", vec: str = "vec", exact: bool = True) -> DataFrame:
     """All internal measures in one row."""
-    first = silhouette(df, id_col, cluster, vec) if exact else silhouette_squared(df, cluster, vec)
-    name = first.columns[0]
-    return first.select(
-        F.col(name).alias("silhouette"),
-        calinski_harabasz(df, cluster, vec).select("calinski_harabasz").scalar().alias("calinski_harabasz"),
-        davies_bouldin(df, cluster, vec).select("davies_bouldin").scalar().alias("davies_bouldin"),
-        inertia(df, cluster, vec).select("inertia").scalar().alias("inertia"),
-    )
+    parts = {
+        "silhouette": silhouette(df, id_col, cluster, vec) if exact else silhouette_squared(df, cluster, vec),
+        "calinski_harabasz": calinski_harabasz(df, cluster, vec),
+        "davies_bouldin": davies_bouldin(df, cluster, vec),
+        "inertia": inertia(df, cluster, vec),
+    }
+    long = reduce(DataFrame.unionByName, [
+        p.select(F.lit(n).alias("metric"), F.col(p.columns[0]).alias("value")) for n, p in parts.items()
+    ])
+    return long.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in parts])
 
 
 def cluster_profile(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> DataFrame:

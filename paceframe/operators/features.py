@@ -40,7 +40,7 @@ def season_progress(df: DataFrame, year: str = "year", rnd: str = "round") -> Da
     """Share of the season completed, and flags for its first and last three rounds."""
     df = attach_group_stats(df, year, {"__last": F.max(rnd)}, null_safe=True)
     return df.withColumns({
-        "season_progress": F.col(rnd) / F.col("__last"),
+        "season_progress": F.try_divide(F.col(rnd), F.col("__last")),
         "is_season_start": S.flag(F.col(rnd) <= 3),
         "is_season_end": S.flag(F.col(rnd) >= F.col("__last") - 2),
     }).drop("__last")
@@ -68,7 +68,7 @@ def qualifying_temporal(
 def lap_features(df: DataFrame, altitude: str = "alt") -> DataFrame:
     """Lap bands, grid and era bands, interactions, and percent of the race completed."""
     df = attach_group_stats(df, "race_id", {"__laps": F.max("lap")}, null_safe=True)
-    done = F.col("lap") / F.col("__laps")
+    done = F.try_divide(F.col("lap"), F.col("__laps"))
     return df.withColumns({
         "lap_group": S.band(done, *LAP_BANDS),
         "grid_group": S.band("grid", *GRID_BANDS),

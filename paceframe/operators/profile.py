@@ -107,6 +107,12 @@ def quality_checks(
     return base.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def pearson(a: str, b: str) -> Column:
+    """Correlation over rows where both are known; NULL (not an error) for a constant column."""
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], complete: bool = False) -> DataFrame:
     """Pearson correlation of every pair i <= j, in one aggregate.
 
@@ -115,7 +121,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], complete: bool = False) -> D
     rows = df.select(*cols)
     rows = rows.dropna() if complete else rows
     pairs = F.array(*[
-        F.struct(F.lit(a).alias("left_column"), F.lit(b).alias("right_column"), F.corr(a, b).alias("corr"))
+        F.struct(F.lit(a).alias("left_column"), F.lit(b).alias("right_column"), pearson(a, b).alias("corr"))
         for a, b in itertools.combinations_with_replacement(cols, 2)
     ])
     return rows.agg(pairs.alias("p")).select(F.explode("p").alias("p")).select("p.*")
@@ -123,7 +129,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], complete: bool = False) -> D
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Correlation with the target, strongest first."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.corr(c, target).alias("corr")) for c in cols])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), pearson(c, target).alias("corr")) for c in cols])
     long = df.agg(pairs.alias("p")).select(F.explode("p").alias("p")).select("p.*")
     return long.withColumn("strength", F.abs("corr")).orderBy(F.desc_nulls_last("strength"), "column_name")
 

@@ -44,12 +44,14 @@ def sweep(
     ``exact`` uses the Euclid silhouette, quadratic in the rows and meant for
     entity tables; otherwise the squared one, which is linear.
     """
-    df, out = materialise(df), None
+    df, rows = materialise(df), []
     for k in ks:
         labelled = label_rows(fit_kmeans(df, k, vec, seed, restarts), df, vec)
-        row = cluster.quality_row(labelled, id_col, "cluster", vec, exact).withColumn("k", F.lit(k))
-        out = row if out is None else out.unionByName(row)
-    return out
+        row = cluster.quality_row(labelled, id_col, "cluster", vec, exact).first()
+        rows.append((k, row["silhouette"], row["calinski_harabasz"], row["davies_bouldin"], row["inertia"]))
+    return df.sparkSession.createDataFrame(
+        rows, "k int, silhouette double, calinski_harabasz double, davies_bouldin double, inertia double"
+    )
 
 
 def hierarchical_check(df: DataFrame, id_col: str, k: int = 4, vec: str = "vec", seed: int = 42) -> DataFrame:
