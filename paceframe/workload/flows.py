@@ -8,6 +8,7 @@ from ..operators import cluster, entity, metrics, models, split
 from ..plans import classification, laps, regression, scoring, segments
 from ..session import materialise
 from . import roles as R
+from .flow_sql import CLASSIFICATION_PREP, LAP_PREP, REGRESSION_PREP
 from .registry import query, rounded, sql6
 from .relational import regression_rows
 from .roles import with_roles
@@ -50,9 +51,9 @@ def _regression(spark, sf):
     return regression.encode_flow(regression.prepare(tables(spark, sf), ERA))
 
 
-@query("regression_prep")
+@query("regression_prep", REGRESSION_PREP)
 def regression_prep(spark, sf):
-    return _regression(spark, sf)[0]
+    return rounded(_regression(spark, sf)[0])
 
 
 @query("fit_regressors")
@@ -61,9 +62,9 @@ def fit_regressors(spark, sf):
     return models.fit_regressors(df, fitted.columns, "position", params=FAST).table.drop("seconds")
 
 
-@query("classification_prep")
+@query("classification_prep", CLASSIFICATION_PREP)
 def classification_prep(spark, sf):
-    return classification.encode_flow(classification.prepare(tables(spark, sf), CUT))[0]
+    return rounded(classification.encode_flow(classification.prepare(tables(spark, sf), CUT))[0])
 
 
 @query("fit_classifiers")
@@ -112,14 +113,14 @@ def learning_curve(spark, sf):
     return models.learning_curve(df, names, "y", "result_id", "ridge", steps=4, folds=3)
 
 
-@query("lap_prep")
+@query("lap_prep", LAP_PREP)
 def lap_prep(spark, sf):
     t = tables(spark, sf)
     facts = R.results(spark, sf).select("race_id", "driver_id", "team_id", "grid", "position", "year")
     from ..operators.joins import left_join
 
     facts = left_join(facts, t["schedule"], "race_id", ["circuit_id"])
-    return laps.prepare({**t, "results": facts})
+    return rounded(laps.prepare({**t, "results": facts}))
 
 
 # --- scoring: fixed weights make it checkable -----------------------------------------
