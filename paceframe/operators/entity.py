@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import share, to_number
-from .clean import keep_active
 from .joins import left_join
 
 # The grid slot assumed when none is known, and the profile columns clustered on.

@@ -167,13 +167,14 @@ def best_row(table: DataFrame, metric: str, by: Sequence[str] = (), largest: boo
 
 
 def goal_checks(
-    table: DataFrame, goal: float = 0.80, min_r2: float = 0.5, max_gap: float = 0.15
+    table: DataFrame, goal: float = 0.80, min_r2: float = 0.5, max_gap: float = 0.15, max_mae: float | None = None
 ) -> DataFrame:
     """Goal and viability of every model as booleans, with the distance to the goal."""
+    viable = (F.col("r2_test") > min_r2) & (F.col("overfit_gap") < max_gap)
+    if max_mae is not None:
+        viable = viable & (F.col("mae_test") < max_mae)
     return table.withColumns({
-        "meets_goal": F.col("r2_test") >= goal,
-        "gap_to_goal": F.lit(goal) - F.col("r2_test"),
-        "viable": (F.col("r2_test") > min_r2) & (F.col("overfit_gap") < max_gap),
+        "meets_goal": F.col("r2_test") >= goal, "gap_to_goal": F.lit(goal) - F.col("r2_test"), "viable": viable,
     })
 
 

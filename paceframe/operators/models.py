@@ -258,6 +258,49 @@ def tune(
     )
 
 
+def tune_many(
+    df: DataFrame, features: Sequence[str], label: str, names: Sequence[str], grids: Mapping[str, Mapping], key: str,
+    task: str = "regression", folds: int = 5, seed: int = 42, weight: str | None = None,
+) -> tuple[dict[str, Model], DataFrame | None]:
+    """Grid search for several models: best model per name, and all combinations.
+
+    Without a grid a regressor is skipped, and a classifier is validated with
+    its defaults.
+    """
+    best, rows = {}, None
+    for name in names:
+        if name not in grids and task == "regression":
+            continue
+        model, table = tune(df, features, label, name, grids.get(name, {}), key, task, folds, seed, weight)
+        best[name] = model.bestModel
+        rows = table if rows is None else rows.unionByName(table)
+    return best, rows
+
+
+def evaluate_models(
+    fitted: Mapping[str, Model], df: DataFrame, features: Sequence[str], label: str, split: str = "split",
+    task: str = "regression",
+) -> DataFrame:
+    """Ranked metric table of fitted models over the split parts of a table."""
+    data = assemble(df.withColumn(label, F.col(label).cast("double")), features, [label, split])
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = []
+    try:
+        for name, model in fitted.items():
+            if task == "regression":
+                m = overfit_table(model.transform(data), label, "prediction", split).first().asDict()
+            else:
+                m = classifier_metrics(model, data.where(F.col(split) == "test"), label)
+            rows.append({"model": name, **m})
+    finally:
+        data.unpersist()
+    cols, metric = (
+        (["r2_train", "r2_test", "mae_test", "rmse_test", "overfit_gap"], "r2_test") if task == "regression"
+        else (["precision", "recall", "f1", "accuracy", "roc_auc"], "f1")
+    )
+    return rank_models(_metric_frame(df.sparkSession, rows, cols), metric)
+
+
 def feature_importance(model: Model, features: Sequence[str], k: int = 20) -> DataFrame:
     """Importance per feature, largest first."""
     spark = SparkSession.active()

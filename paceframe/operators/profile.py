@@ -127,11 +127,12 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], complete: bool = False) -> D
     return rows.agg(pairs.alias("p")).select(F.explode("p").alias("p")).select("p.*")
 
 
-def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
-    """Correlation with the target, strongest first."""
+def corr_with_target(df: DataFrame, cols: Sequence[str], target: str, threshold: float = 0.1) -> DataFrame:
+    """Correlation with the target, strongest first, and whether it counts as significant."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), pearson(c, target).alias("corr")) for c in cols])
     long = df.agg(pairs.alias("p")).select(F.explode("p").alias("p")).select("p.*")
-    return long.withColumn("strength", F.abs("corr")).orderBy(F.desc_nulls_last("strength"), "column_name")
+    long = long.withColumn("strength", F.abs("corr"))
+    return long.withColumn("significant", F.coalesce(F.col("strength") > threshold, F.lit(False))).orderBy(F.desc_nulls_last("strength"), "column_name")
 
 
 def collinear_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.8) -> DataFrame:

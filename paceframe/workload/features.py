@@ -10,7 +10,7 @@ from ..session import materialise
 from ..sources import tables as src
 from . import roles as R
 from .registry import query, r6, rounded, sql6
-from .relational import LAP_ROLES, LAP_ROWS_SQL, classification_rows, entry_quali, lap_rows, regression_rows
+from .relational import LAP_ROLES, LAP_ROWS_SQL, classification_rows, lap_rows, regression_rows
 from .roles import with_roles
 
 CUT = "2000-01-01"

@@ -314,7 +314,8 @@ def corr_matrix_complete(spark, sf):
 
 
 @query("corr_with_target", with_roles(" UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, {sql6(f'corr({c}, position)', 'corr')}, {sql6(f'abs(corr({c}, position))', 'strength')} FROM entries"
+    f"SELECT '{c}' AS column_name, {sql6(f'corr({c}, position)', 'corr')}, {sql6(f'abs(corr({c}, position))', 'strength')}, "
+    f"abs(corr({c}, position)) > 0.1 AS significant FROM entries"
     for c in ("grid", "points", "laps", "round")), "entries"))
 def corr_with_target(spark, sf):
     return rounded(profile.corr_with_target(R.entries(spark, sf), ["grid", "points", "laps", "round"], "position"))

@@ -234,9 +234,29 @@ def _minority(spark, sf):
     return R.vectors(spark, sf).withColumn("label", (F.col("cluster") == 0).cast("int"))
 
 
-@query("smote_rows")
+def _digest(seed: str) -> str:
+    return f"('0x' || substr(md5(tag || '{seed}'), 1, 8))::BIGINT"
+
+
+@query("smote_rows", with_roles(f"""
+WITH m AS (SELECT vec_id AS id, vec FROM vectors WHERE cluster = 0),
+n AS (SELECT id, list(o ORDER BY d, o) AS near FROM (SELECT a.id, b.id AS o, list_distance(a.vec, b.vec) AS d,
+    row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.vec, b.vec), b.id) AS rk
+  FROM m a JOIN m b ON a.id <> b.id) WHERE rk <= 5 GROUP BY 1),
+s AS (SELECT count(*) FILTER (WHERE cluster = 0) AS few,
+  cast(floor(0.5 * count(*) FILTER (WHERE cluster <> 0)) AS BIGINT) - count(*) FILTER (WHERE cluster = 0) AS missing FROM vectors),
+t AS (SELECT id, row_number() OVER (ORDER BY md5(id::VARCHAR || '42'), id) AS turn FROM m),
+c AS (SELECT id, unnest(range(1, missing // few + (turn <= missing % few)::INT + 1)) AS copy FROM t, s),
+p AS (SELECT c.id, copy, near[{_digest('42n')} % len(near) + 1] AS neighbor_id, {_digest('42u')} / 4294967296.0::DOUBLE AS u
+  FROM (SELECT *, id::VARCHAR || '-' || copy::VARCHAR AS tag FROM c) c JOIN n ON c.id = n.id),
+x AS (SELECT p.id, copy, neighbor_id, u, unnest(a.vec) AS va, unnest(b.vec) AS vb, generate_subscripts(a.vec, 1) - 1 AS dim
+  FROM p JOIN m a ON p.id = a.id JOIN m b ON p.neighbor_id = b.id)
+SELECT id AS base_id, cast(copy AS INTEGER) AS copy, neighbor_id, 1 AS label, cast(dim AS INTEGER) AS dim,
+  {sql6('va + u * (vb - va)', 'value')} FROM x""", "vectors"))
 def smote_rows(spark, sf):
-    return balance.smote_rows(_minority(spark, sf), "vec_id", "vec", "label")
+    rows = balance.smote_rows(_minority(spark, sf), "vec_id", "vec", "label")
+    cols = ["base_id", F.col("copy").cast("int").alias("copy"), "neighbor_id", "label"]
+    return rounded(rows.select(*cols, F.posexplode("vec").alias("dim", "value")))
 
 
 @query("union_synthetic", with_roles(f"""
