@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paceframe.plans import classification, regression, scoring
+from paceframe.session import materialise
 from paceframe.workload.flows import CUT, ERA, tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -42,12 +43,15 @@ def test_regression_training_and_scoring(spark, prepared):
 
 def test_classification_balance_and_training(spark):
     df, names = classification.encode_flow(classification.prepare(tables(spark, FOLDER), CUT))
-    both = classification.balance_train(df, names)
+    df = materialise(df)
+    both = materialise(classification.balance_train(df, names))
     count = lambda d: {(r["split"], r["target"]): r["count"] for r in d.groupBy("split", "target").count().collect()}
     before, after = count(df), count(both)
     assert after[("train", 1)] == int(0.5 * before[("train", 0)])
     assert {k: v for k, v in after.items() if k != ("train", 1)} == {k: v for k, v in before.items() if k != ("train", 1)}
     assert both.count() == both.select("row_id").distinct().count()
+    small = {"rounds": 5, "depth": 4}
     winner, _, table = classification.train(
-        df, names, names=("logistic_regression",), grids={"logistic_regression": {"c": [1.0]}}, folds=2)
-    assert winner == "logistic_regression" and 0 <= table.first()["f1"] <= 1
+        df, names, names=("random_forest",), grids={"random_forest": {k: [v] for k, v in small.items()}}, folds=2,
+        params={"random_forest": small})
+    assert winner == "random_forest" and 0 <= table.first()["f1"] <= 1
