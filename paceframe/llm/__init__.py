@@ -1,0 +1,8 @@
+"""Operators of a training-data pipeline over documents, pages and embeddings."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# task functions travel with their code, so workers need not have the package on their path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
