@@ -19,9 +19,6 @@ BACK_OF_GRID = 20
 SEGMENT_FEATURES = (
     "avg_grid", "avg_finish", "win_rate", "podium_rate", "top10_rate", "dnf_rate", "avg_positions_gained",
 )
-TEAM_FEATURES = (
-    "avg_grid", "avg_points_per_race", "win_rate", "podium_rate", "dnf_rate", "scoring_consistency",
-)
 
 
 def _numbers(results: DataFrame) -> DataFrame:

@@ -151,13 +151,13 @@ def gram_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).dropna().agg(pairs.alias("p")).select(F.explode("p").alias("p")).select("p.*")
 
 
-def vif(df: DataFrame, cols: Sequence[str], limit: int = 10) -> DataFrame:
-    """Variance inflation of at most ``limit`` features, without an intercept.
+def vif(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Variance inflation of every given feature, without an intercept.
 
     The Gram matrix is a Spark aggregate; only its few numbers are inverted on
     the driver. VIF of a column is its diagonal times that of the inverse.
     """
-    cols = list(cols)[:limit]
+    cols = list(cols)
     index = {c: i for i, c in enumerate(cols)}
     g = np.zeros((len(cols), len(cols)))
     for r in gram_matrix(df, cols).collect():

@@ -21,8 +21,8 @@ from ..session import materialise
 from .joins import left_join
 
 ROWS_PER_BIN = 1_000_000
-MAX_BINS = 8_192
 HOT_ROWS = 4_000_000
+SLICE_DIGITS = 5
 
 
 def cut_points(df: DataFrame, c: str, bins: int) -> list[float]:
@@ -35,7 +35,7 @@ def cut_points(df: DataFrame, c: str, bins: int) -> list[float]:
 
 
 def with_bin(df: DataFrame, c: str, cuts: Sequence[float], name: str = "__bin") -> DataFrame:
-    """Bin number of a numeric column; NULL values form the last bin."""
+    """Bin number of a numeric column in its sort order: NULL is bin -1, below all values, and NaN is in the last bin."""
     if not cuts:
         return df.withColumn(name, F.lit(0))
     tool = Bucketizer(
@@ -43,12 +43,12 @@ def with_bin(df: DataFrame, c: str, cuts: Sequence[float], name: str = "__bin")
     )
     return (
         tool.transform(df.withColumn("__x", F.col(c).cast("double")))
-        .withColumn(name, F.col(name).cast("int")).drop("__x")
+        .withColumn(name, F.coalesce(F.col(name).cast("int"), F.lit(-1))).drop("__x")
     )
 
 
 def bins_for(rows: int, per_bin: int = ROWS_PER_BIN) -> int:
-    return max(1, min(MAX_BINS, math.ceil(rows / per_bin)))
+    return max(1, math.ceil(rows / per_bin))
 
 
 def running_totals(
@@ -62,7 +62,8 @@ def running_totals(
     """Inclusive running sums over distinct order values.
 
     ``df`` has one row per (by, order); ``sums`` maps input columns to result
-    names. Rows are few per value because the caller aggregates ties first.
+    names. Rows are few per value because the caller aggregates ties first. A NULL
+    order value sorts as in SQL windows: first upwards, last downwards.
     """
     bins = bins_for(df.count(), rows_per_bin)
     if bins > 1:
@@ -93,12 +94,12 @@ def hash_rank(
 ) -> DataFrame:
     """Rank 1..n of rows in the order of a seeded digest of a unique key, within ``by``.
 
-    The first three hex digits of the digest cut every group into 4,096 even
+    The first hex digits of the digest cut every group into about a million even
     slices, so the rank of a group of any size is a slice-local row number plus
     the size of the earlier slices.
     """
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
-    cut = df.withColumns({"__digest": digest, "__slice": F.substring(digest, 1, 3)})
+    cut = df.withColumns({"__digest": digest, "__slice": F.substring(digest, 1, SLICE_DIGITS)})
     sizes = cut.groupBy(*by, "__slice").agg(F.count(F.lit(1)).alias("__m"))
     earlier = Window.partitionBy(*by).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*by, "__slice", F.coalesce(F.sum("__m").over(earlier), F.lit(0)).alias("__offset"))
@@ -113,7 +114,29 @@ def hash_number(key: str, seed: int | str = 42) -> Column:
     return digest_number(F.col(key), seed)
 
 
-def hot_keys(df: DataFrame, key: str, limit: int = HOT_ROWS) -> list:
-    """Keys with more than ``limit`` rows; there are fewer than rows/limit of them."""
+def hot_keys(df: DataFrame, key: str, limit: int = HOT_ROWS) -> DataFrame:
+    """Table of the keys with more than ``limit`` rows, in the column ``key``."""
     sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    return [r[0] for r in sizes.where(F.col("__n") > limit).select(key).collect()]
+    return materialise(sizes.where(F.col("__n") > limit).select(key))
+
+
+def range_slices(df: DataFrame, order: Sequence[str], slices: int, name: str = "__bin") -> DataFrame:
+    """Rows cut into about ``slices`` ranges of the full sort order, numbered upwards.
+
+    Cuts fall between rows, not between values of the first column, so ties on it
+    are split and any sortable type will do. NULLs come first, as in SQL windows.
+    The rows are written with their number, so a retry can't cut them differently.
+    """
+    cut = df.repartitionByRange(max(1, slices), *order).withColumn(name, F.spark_partition_id())
+    return materialise(cut)
+
+
+def sorted_rank(df: DataFrame, order: Sequence[str], name: str, rows_per_slice: int = ROWS_PER_BIN) -> DataFrame:
+    """Rank 0..n-1 in a sort order without ties, by ranges: a range-local number plus the size of earlier ranges."""
+    cut = range_slices(df, order, math.ceil(df.count() / rows_per_slice))
+    sizes = cut.groupBy("__bin").agg(F.count(F.lit(1)).alias("__m"))
+    earlier = Window.orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__bin", F.coalesce(F.sum("__m").over(earlier), F.lit(0)).alias("__offset"))
+    local = F.row_number().over(Window.partitionBy("__bin").orderBy(*order)) - 1
+    ranked = left_join(cut.withColumn("__local", local), offsets, "__bin")
+    return ranked.withColumn(name, (F.col("__local") + F.col("__offset")).cast("bigint")).drop("__bin", "__local", "__offset")

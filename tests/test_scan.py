@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from paceframe.operators import history, quantiles, scan
+from paceframe.operators import history, metrics, quantiles, scan
 from paceframe.operators.split import sample_share, split_exact, stratified_folds
 
 
@@ -137,3 +137,59 @@ def test_team_event_unit_does_not_see_the_same_event(spark):
     by_event = {r["result_id"]: r["team_podiums_last_5"] for r in history.team_history(df, unit="event").collect()}
     assert by_row == {1: 0.0, 2: 1.0, 3: 2.0}
     assert by_event == {1: 0.0, 2: 0.0, 3: 2.0}
+
+
+def _hard_rows(kind):
+    """One busy driver and some others, with NULL dates, equal instants, or dates as text."""
+    rng = np.random.default_rng(5)
+    n = 90
+    day = pd.to_datetime("2015-01-01") + pd.to_timedelta(rng.integers(0, 900, n), unit="D")
+    pdf = pd.DataFrame({
+        "result_id": rng.permutation(n), "race_id": rng.integers(0, 30, n), "driver_id": np.where(rng.random(n) < 0.7, 1, rng.integers(2, 9, n)),
+        "day": day.strftime("%Y-%m-%d"), "position_original": rng.integers(1, 5, n),
+    })
+    pdf["year"] = day.year
+    if kind == "ties":
+        pdf["day"] = "2016-02-03"
+    pdf["is_podium"] = (pdf["position_original"] <= 3).astype(int)
+    if kind == "nulls":
+        pdf.loc[pdf["result_id"] % 5 == 0, ["day", "year"]] = None
+    return pdf
+
+
+@pytest.mark.parametrize("kind", ["nulls", "ties", "text"])
+@pytest.mark.parametrize("hot_rows", [20, 7])
+def test_hot_slices_agree_with_whole_windows(spark, kind, hot_rows):
+    pdf = _hard_rows(kind)
+    df = spark.createDataFrame(
+        pdf.astype(object).where(pdf.notna(), None),
+        "result_id long, race_id long, driver_id long, day string, position_original long, year long, is_podium long",
+    )
+    df = df.withColumnRenamed("day", "date") if kind == "text" else df.withColumn("date", F.to_date("day")).drop("day")
+    whole = history.driver_history(df, hot_rows=10**9).orderBy("result_id").toPandas()
+    cut = history.driver_history(df, hot_rows=hot_rows).orderBy("result_id").toPandas()
+    for c in ("driver_podiums_last_5", "driver_podium_rate_season", "driver_wins_season"):
+        assert np.allclose(whole[c], cut[c]), c
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_totals_with_null_and_nan(spark, descending):
+    rows = [(None, 5), (float("nan"), 7)] + [(float(i), i % 4) for i in range(60)]
+    df = spark.createDataFrame(rows, "s double, n int")
+    one = {repr(r["s"]): r["run"] for r in scan.running_totals(df, "s", {"n": "run"}, descending=descending).collect()}
+    many = {repr(r["s"]): r["run"] for r in scan.running_totals(df, "s", {"n": "run"}, descending=descending, rows_per_bin=9).collect()}
+    assert one == many and len(one) == 62
+
+
+def test_average_precision_with_null_scores(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(rng.random() < 0.2), None if rng.random() < 0.1 else float(rng.random())) for _ in range(500)]
+    df = spark.createDataFrame(rows, "y int, s double")
+    one = metrics.average_precision(df, "y", "s").first()[0]
+    assert metrics.average_precision(df, "y", "s", rows_per_bin=20).first()[0] == pytest.approx(one)
+
+
+def test_label_codes_of_values_with_one_prefix(spark):
+    df = spark.createDataFrame([(f"Customer#{i:05d}",) for i in range(700)] + [(None,)], "c string")
+    got = scan.sorted_rank(df.select(F.coalesce("c", F.lit("nan")).alias("c")), ["c"], "r", rows_per_slice=50).orderBy("c").toPandas()
+    assert got["r"].tolist() == list(range(701))
