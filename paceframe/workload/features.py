@@ -173,6 +173,23 @@ def hist_last5(spark, sf):
     return df.select("result_id", "driver_podiums_last_5")
 
 
+_HOLES = "SELECT * REPLACE (CASE WHEN result_id % 7 = 0 THEN NULL ELSE date END AS date) FROM h"
+_NULLS_FIRST = _ORD.replace("ORDER BY date,", "ORDER BY date NULLS FIRST,")
+
+
+@query("hist_hot_null_dates", with_roles(f"""
+WITH {_POD}, g AS ({_HOLES}) SELECT result_id,
+  coalesce(sum(is_podium) OVER (PARTITION BY driver_id {_NULLS_FIRST.format(5)}), 0)::DOUBLE AS driver_podiums_last_5,
+  {sql6(f"coalesce(avg(is_podium) OVER (PARTITION BY driver_id, year {_NULLS_FIRST.format('UNBOUNDED')}), 0)", "driver_podium_rate_season")},
+  coalesce(sum(CASE WHEN position = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY driver_id, year {_NULLS_FIRST.format('UNBOUNDED')}), 0)::DOUBLE
+    AS driver_wins_season FROM g""", "results"))
+def hist_hot_null_dates(spark, sf):
+    """The cut path, reached by a low limit, over rows of which some have no date."""
+    rows = podium_rows(spark, sf).withColumn("date", F.when(F.col("result_id") % 7 != 0, F.col("date")))
+    df = history.driver_history(rows, hot_rows=50)
+    return rounded(df.select("result_id", "driver_podiums_last_5", "driver_podium_rate_season", "driver_wins_season"))
+
+
 @query("hist_season_rate", _history_sql(
     sql6(f"coalesce(avg(is_podium) {_over('driver_id, year')}, 0)", "driver_podium_rate_season")))
 def hist_season_rate(spark, sf):

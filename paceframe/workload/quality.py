@@ -151,6 +151,18 @@ def average_precision(spark, sf):
     return rounded(metrics.average_precision(R.scored(spark, sf), "label", "score"))
 
 
+@query("roc_null_scores", with_roles(f"""
+WITH g AS (SELECT CASE WHEN event_id % 10 <> 0 THEN score END AS score, label FROM scored),
+s AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg FROM g GROUP BY 1),
+c AS (SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM s WINDOW w AS (ORDER BY score DESC NULLS LAST)),
+n AS (SELECT sum(pos) AS p, sum(neg) AS n FROM s)
+SELECT score AS threshold, {sql6('fp / n.n', 'fpr')}, {sql6('tp / n.p', 'tpr')} FROM c, n""", "scored"))
+def roc_null_scores(spark, sf):
+    """The curve in many bins, over scores of which some are NULL (the lowest threshold)."""
+    rows = R.scored(spark, sf).withColumn("score", F.when(F.col("event_id") % 10 != 0, F.col("score")))
+    return rounded(metrics.roc_curve(rows, "label", "score", rows_per_bin=300), ("threshold",))
+
+
 @query("confusion_matrix", with_roles("SELECT label, pred, count(*) AS rows FROM scored GROUP BY 1, 2", "scored"))
 def confusion_matrix(spark, sf):
     return metrics.confusion(R.scored(spark, sf), "label", "pred")
