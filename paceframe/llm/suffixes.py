@@ -28,10 +28,11 @@ GRAM = 16
 STEPS = LENGTH - GRAM + 1  # grams of one window
 PIECE = 1 << 18  # bytes of a text that are hashed at a time
 MULTIPLIER = 0x9E3779B97F4A7C15
-SIEVE_BITS = 1 << 25
+SIEVE_BITS = 1 << 26  # a bitmap of 8 MB
+HOT_BITS = 1 << 20
 ID_BITS = 1 << 22
 #: Anchors in more documents go by grouped windows, as their suffixes would fill a task.
-HOT_DOCS = 8192
+HOT_DOCS = 16384
 #: Rows of a table of repeated texts up to which it is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 500_000
 _FAR = np.iinfo(np.int64).max
@@ -231,50 +232,57 @@ def _repeated_texts(rows: DataFrame) -> DataFrame:
 def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
     """Removed ranges (not merged) of every text that loses bytes."""
 
-    def grams(batches):
+    def found(batches, *sieves: np.ndarray):
+        """Anchors of every text whose gram is in all sieves, with a key of the bytes their windows cover."""
         tables = powers()
+        for b in batches:
+            for d, a, t in zip(b.column("_sx_doc").to_pylist(), b.column("_sx_a").to_pylist(), raw_texts(b.column("_sx_text"))):
+                h, pos, first, last = anchors(t, tables)
+                for v in sieves:
+                    ok = may_hold(v, h)
+                    h, pos, first, last = h[ok], pos[ok], first[ok], last[ok]
+                left = pos - first
+                around = [t[i:j] for i, j in zip(first.tolist(), (last + LENGTH).tolist())]
+                keys = np.fromiter(
+                    (xxhash.xxh3_64_intdigest(c, k) for c, k in zip(around, left.tolist())), dtype=np.uint64, count=len(around)
+                ).view(np.int64)
+                yield d, a, h, keys, pos, left, pos - last, around
+
+    def grams(batches):
         for b in slices(batches, 256):
-            ids, hs = [], []
-            for d, t in zip(b.column("_sx_doc").to_pylist(), raw_texts(b.column("_sx_text"))):
-                h = np.unique(anchors(t, tables)[0])
-                hs.append(h)
-                ids.append(np.full(len(h), d, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.concatenate(ids))], names=["h", "doc"])
-
-    seen = own.select("_sx_doc", "_sx_text").mapInArrow(grams, "h bigint, doc bigint").groupBy("h").agg(
-        F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count(F.lit(1)).alias("n")
-    ).where("lo < hi")
-    seen = materialise(seen.select("h", "n"))
+            hs, cs, ids = [], [], []
+            for d, _, h, keys, *_ in found([b]):
+                order = np.lexsort((keys, h))
+                h, keys = h[order], keys[order]
+                new = np.ones(len(h), dtype=bool)
+                new[1:] = (h[1:] != h[:-1]) | (keys[1:] != keys[:-1])
+                hs.append(h[new])
+                cs.append(keys[new])
+                ids.append(np.full(len(hs[-1]), d, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hs, cs, ids)], names=["h", "c", "doc"])
+
+    # a gram in one document only is no candidate; one with the same bytes around it everywhere is settled by its first document
+    seen = materialise(own.mapInArrow(grams, "h bigint, c bigint, doc bigint").groupBy("h").agg(
+        F.min("doc").alias("first"), F.max("doc").alias("hi"), F.min("c").alias("c"), F.max("c").alias("c2"), F.count(F.lit(1)).alias("n")
+    ).where("first < hi").select("h", "c", "first", "n", (F.col("c") != F.col("c2")).alias("several")))
     known = collected(seen, "h", SIEVE_BITS)
-    hot = collected(seen.where(F.col("n") > hot_docs), "h", 1 << 20)
-
-    def found(b: pa.RecordBatch, tables):
-        for d, a, t in zip(b.column("_sx_doc").to_pylist(), b.column("_sx_a").to_pylist(), raw_texts(b.column("_sx_text"))):
-            h, pos, first, last = anchors(t, tables)
-            ok = may_hold(known, h)
-            h, pos, first, last = h[ok], pos[ok], first[ok], last[ok]
-            around = [t[i:j] for i, j in zip(first.tolist(), (last + LENGTH).tolist())]
-            left = pos - first
-            keys = np.fromiter(
-                (xxhash.xxh3_64_intdigest(c, k) for c, k in zip(around, left.tolist())), dtype=np.uint64, count=len(around)
-            ).view(np.int64)
-            yield d, a, h, keys, pos, left, around
+    mixed = collected(seen.where("several"), "h", SIEVE_BITS)
+    hot = collected(seen.where(F.col("several") & (F.col("n") > hot_docs)), "h", HOT_BITS)
 
     def places(batches):
-        tables = powers()
         for b in slices(batches, 256):
-            out = [[] for _ in range(5)]
-            for d, a, h, keys, pos, _, _ in found(b, tables):
-                for held, x in zip(out, (h, keys, np.full(len(h), d, dtype=np.int64), np.full(len(h), a, dtype=np.int64), pos)):
+            out = [[] for _ in range(6)]
+            for d, a, h, keys, pos, left, least, _ in found([b], known):
+                # both limits of the offsets in one number
+                for held, x in zip(out, (h, keys, np.full(len(h), d, dtype=np.int64), np.full(len(h), a, dtype=np.int64), pos, left * 64 + least)):
                     held.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], names=["h", "c", "doc", "a", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], names=["h", "c", "doc", "a", "pos", "lim"])
 
     def contexts(batches):
-        tables = powers()
         for b in slices(batches, 2048):
             # copies of a context inside a batch are one row
             held: dict[tuple[int, int], list] = {}
-            for d, _, h, keys, _, left, around in found(b, tables):
+            for d, _, h, keys, _, left, _, around in found([b], mixed):
                 for k, c, l, x in zip(h.tolist(), keys.tolist(), left.tolist(), around):
                     row = held.get((k, c))
                     if row is None:
@@ -286,36 +294,67 @@ def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
             c = np.fromiter((c for _, c in held), dtype=np.int64, count=len(held))
             l, x, lo, hi = zip(*held.values()) if held else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(c), pa.array(l, pa.int32()), pa.array(x, pa.binary()), pa.array(lo, pa.int64()),
-                 pa.array(hi, pa.int64()), pa.array(may_hold(hot, h))],
-                names=["h", "c", "l", "x", "lo", "hi", "hot"],
+                [pa.array(h), pa.array(c), pa.array(l, pa.int64()), pa.array(x, pa.binary()), pa.array(lo, pa.int64()),
+                 pa.array(hi, pa.int64()), pa.array(np.where(may_hold(hot, h), c | 1, 0))],
+                names=["h", "c", "l", "x", "lo", "hi", "part"],
             )
 
-    around = own.mapInArrow(contexts, "h bigint, c bigint, l int, x binary, lo bigint, hi bigint, hot boolean")
-    cold = around.where("not hot").repartition("h").sortWithinPartitions("h", "c").mapInArrow(
-        _sorted_windows, "h bigint, c bigint, l_from int, l_to int, first bigint"
-    )
-    windows = cold
-    if seen.where(F.col("n") > hot_docs).limit(1).count():
-        windows = cold.unionByName(_grouped_windows(around.where("hot")))
-    at = own.mapInArrow(places, "h bigint, c bigint, doc bigint, a bigint, pos bigint")
+    # rows of a hot gram are spread, all others of a gram meet in one place
+    dealt = own.mapInArrow(contexts, "h bigint, c bigint, l bigint, x binary, lo bigint, hi bigint, part bigint").repartition(
+        "h", "part").sortWithinPartitions("part", "h", "c")
+    solved = materialise(dealt.mapInArrow(
+        _solved, "h bigint, c bigint, l_from int, l_to int, first bigint, hi bigint, w binary"
+    ))
+    windows = solved.where("w is null").select("h", "c", "l_from", "l_to", "first").unionByName(
+        seen.where("not several").select("h", "c", F.lit(0).alias("l_from"), F.lit(STEPS - 1).alias("l_to"), "first")
+    ).unionByName(_grouped_windows(solved.where("w is not null")))
+    at = own.mapInArrow(places, "h bigint, c bigint, doc bigint, a bigint, pos bigint, lim bigint")
+    start = F.col("pos") - F.least(F.col("l_to"), F.shiftright("lim", 6))
+    end = F.col("pos") - F.greatest(F.col("l_from"), F.col("lim").bitwiseAND(F.lit(63))) + LENGTH
     hits = at.join(windows, ["h", "c"]).where("first < doc").select(
-        F.col("doc").alias("_sx_doc"), F.col("a").alias("_sx_a"),
-        F.struct((F.col("pos") - F.col("l_to")).alias("start"), (F.col("pos") - F.col("l_from") + LENGTH).alias("end")).alias("s"),
-    )
+        F.col("doc").alias("_sx_doc"), F.col("a").alias("_sx_a"), F.struct(start.alias("start"), end.alias("end")).alias("s")
+    ).where("s.end - s.start >= " + str(LENGTH))
     # a text has no more of them than anchors times the offsets of a window
     return hits.groupBy("_sx_doc", "_sx_a").agg(F.collect_list("s").alias("_sx_spans"))
 
 
-def _grouped_windows(around: DataFrame) -> DataFrame:
-    """Windows of anchors in very many documents: one row per window of a context, grouped with partial sums."""
-    classes = around.groupBy("h", "c", "l", "x").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    each = classes.select("h", "c", "l", "x", "lo", "hi", F.explode(F.sequence(
-        F.greatest(F.lit(0), F.col("l") + LENGTH - F.octet_length("x")), F.col("l"))).alias("o"))
-    each = each.select("h", "c", "o", "lo", "hi", F.expr(f"substring(x, l - o + 1, {LENGTH})").alias("w"))
-    least = each.groupBy("h", "o", "w").agg(F.min("lo").alias("first"))
-    return each.join(least, ["h", "o", "w"]).where("first < hi").select(
-        "h", "c", F.col("o").alias("l_from"), F.col("o").alias("l_to"), "first"
+def _grouped_windows(each: DataFrame) -> DataFrame:
+    """Windows of anchors in very many documents, grouped by their bytes with partial minima."""
+    least = each.groupBy("h", "l_from", "w").agg(F.min("first").alias("least"))
+    return each.join(least, ["h", "l_from", "w"]).where("least < hi").select("h", "c", "l_from", "l_to", F.col("least").alias("first"))
+
+
+def _solved(batches):
+    """Cold grams sorted; each window of a hot one as a row of its own with its bytes."""
+    import itertools
+
+    def cold(items):
+        for b in items:
+            part = b.column("part").to_numpy()
+            if (part != 0).any():
+                hot.append(b.filter(pa.array(part != 0)))
+                b = b.filter(pa.array(part == 0))
+            yield b
+            while hot:
+                out.append(_exploded(hot.pop()))
+
+    hot: list[pa.RecordBatch] = []
+    out: list[pa.RecordBatch] = []
+    for b in itertools.chain(_sorted_windows(cold(batches)), [None]):
+        while out:
+            yield out.pop()
+        if b is not None:
+            yield b
+
+
+def _exploded(b: pa.RecordBatch) -> pa.RecordBatch:
+    rows = []
+    for h, c, l, x, lo, hi in zip(*(b.column(k).to_pylist() for k in ("h", "c", "l", "x", "lo", "hi"))):
+        rows += [(h, c, o, o, lo, hi, x[l - o:l - o + LENGTH]) for o in range(max(0, l + LENGTH - len(x)), l + 1)]
+    cols = zip(*rows) if rows else [()] * 7
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(v), k) for v, k in zip(cols, kinds)], names=["h", "c", "l_from", "l_to", "first", "hi", "w"]
     )
 
 
@@ -373,8 +412,9 @@ def _windows(t: pa.Table) -> pa.RecordBatch:
     ok = value != _FAR
     row, start, end, value = row[ok], start[ok], end[ok], value[ok]
     return pa.RecordBatch.from_arrays(
-        [pa.array(h[row]), pa.array(c[row]), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(value)],
-        names=["h", "c", "l_from", "l_to", "first"],
+        [pa.array(h[row]), pa.array(c[row]), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(value),
+         pa.array(hi[row]), pa.nulls(len(row), pa.binary())],
+        names=["h", "c", "l_from", "l_to", "first", "hi", "w"],
     )
 
 
