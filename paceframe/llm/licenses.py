@@ -54,7 +54,7 @@ NOTICES = (
 #: Rarest words of a phrase that make index entries. A text that holds the phrase holds each of them.
 RARE = 2
 #: Share of the IDF weight of a notice that must stand at its places besides the phrase.
-LEAST = 0.5
+LEAST = 0.4
 
 
 def vocabulary(templates: Sequence[Template]) -> list[str]:

@@ -34,7 +34,7 @@ class CharClass:
 WINDOW = 20
 CLASSES = (
     CharClass("entropy-hex", r"[0-9A-Fa-f]{24,}", r"[0-9A-Fa-f]{24}", 3.1),
-    CharClass("entropy-base64", r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{24,}={0,2}", r"[A-Za-z0-9+/_-]{24}", 3.9),
+    CharClass("entropy-base64", r"[A-Za-z0-9+/_-]{24,}={0,2}", r"[A-Za-z0-9+/_-]{24}", 3.9),
 )
 KINDS = ("assign", "access", "hex", *(c.kind for c in CLASSES))
 # candidates that hold one of these are placeholders, samples or addresses, not secrets
@@ -129,11 +129,11 @@ def max_entropy(value: Column, window: int = WINDOW) -> Column:
 
 
 def entropy_places(text: Column, c: CharClass, allow: Sequence[str], window: int) -> Column:
-    """Candidates of a class whose windows reach its entropy, without allow-listed ones."""
+    """Candidates of a class that hold a digit and reach its entropy in a window, without allow-listed ones."""
     listed = [F.lit(a) for a in allow]
 
     def plain(span: Column) -> Column:
-        ok = F.lit(True)
+        ok = span["value"].rlike("[0-9]")
         for a in listed:
             ok = ok & ~F.contains(span["value"], a)
         return ok
