@@ -121,11 +121,10 @@ def link_classes(
     )
     sizes = classes.select("c", "n")
     pairs, hot = _candidates(reps)
-    tested = materialise(_sized(pairs, sizes, threshold))
-    links = materialise(_verify(rows, tested, size, threshold, block_rows))
-    if hot is not None:
-        rest = materialise(_sized(_across(hot, components(links)).join(tested, ["a", "b"], "left_anti"), sizes, threshold))
-        links = links.unionByName(_verify(rows, rest, size, threshold, block_rows))
+    pairs = materialise(pairs)
+    links = materialise(_verify(rows, materialise(_sized(pairs, sizes, threshold)), size, threshold, block_rows))
+    if hot:
+        links = links.unionByName(_settle(rows, pairs, links, size, threshold, block_rows))
     # an id with several texts ties their classes
     nodes = sets.where("doc is not null and n > 0").join(classes.drop("n"), ["d1", "d2"]).where("doc <> c").select("doc", "c").distinct()
     several = nodes.groupBy("doc").count().where("count > 1").select("doc")
@@ -169,12 +168,12 @@ def _keyed(size: int, threshold: Fraction):
     return keyed
 
 
-def _candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Distinct pairs (a, b) of classes that agree on a range, and the members of ranges that over two classes agree on.
+def _candidates(reps: DataFrame) -> tuple[DataFrame, bool]:
+    """Distinct pairs (a, b) of classes that agree on a range, and whether over two classes agree on one.
 
     A range of many classes ties each to its smallest and its largest one only: pairs
     grow with the rows, never with their square. What these ties leave open is settled
-    by ``_across``.
+    by ``_settle``.
     """
     each = reps.select("c", F.explode("keys").alias("k"))
     groups = materialise(each.groupBy("k").agg(
@@ -182,25 +181,52 @@ def _candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     ).where("lo < hi"))
     pairs = groups.select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     large = groups.where("n > 2")
-    hot = None
-    if large.limit(1).count():
+    hot = large.limit(1).count() > 0
+    if hot:
         maybe, _ = split(each, F.col("k"), large, "k", SIEVE_BITS)
-        hot = materialise(maybe.join(large.select("k", "lo", "hi"), "k"))
-        pairs = pairs.unionByName(hot.select(F.col("lo").alias("a"), F.col("c").alias("b"))).unionByName(
-            hot.select(F.col("c").alias("a"), F.col("hi").alias("b"))
-        ).where("a < b")
+        held = maybe.join(large.select("k", "lo", "hi"), "k").select(
+            F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("c").alias("b")), F.struct(F.col("c").alias("a"), F.col("hi").alias("b")))).alias("p")
+        ).select("p.a", "p.b").where("a < b")
+        pairs = pairs.unionByName(held)
     return pairs.distinct(), hot
 
 
-def _across(hot: DataFrame, group: DataFrame) -> DataFrame:
-    """Pairs of classes that agree on a range and are still in different components."""
-    named = hot.select("k", "c").join(group.withColumnRenamed("id", "c"), "c", "left").select(
-        "k", "c", F.coalesce("component", "c").alias("g")
+def _settle(rows: DataFrame, pairs: DataFrame, links: DataFrame, size: int, t: Fraction, block_rows: int) -> DataFrame:
+    """Ties between classes that candidates join and links don't yet.
+
+    A group is all that candidate pairs reach. Its members outside its largest linked
+    component are multiplied with all its members, block by block: the overlap counts of
+    a pair of blocks stand in one small matrix, and only one tie per member leaves it.
+    """
+    group = components(pairs).withColumnRenamed("component", "s")
+    named = group.join(components(links), "id", "left").select("id", "s", F.coalesce("component", "id").alias("g"))
+    named = materialise(named)
+    parts = named.groupBy("s", "g").agg(F.count(F.lit(1)).alias("n"))
+    largest = parts.groupBy("s").agg(
+        F.max_by("g", F.struct("n", "g")).alias("top"), F.sum("n").alias("all"), F.max("n").alias("most")
+    # a group of two is one candidate pair, which is tested
+    ).where((F.col("most") < F.col("all")) & (F.col("all") > 2))
+    blocks = largest.select(
+        "s", "top", F.ceil((F.col("all") - F.col("most")) / F.lit(float(block_rows))).cast("bigint").alias("ka"),
+        F.ceil(F.col("all") / F.lit(float(block_rows))).cast("bigint").alias("kb"),
+    )
+    members = materialise(named.join(blocks, "s"))
+    held = _grams(rows, members.select("id"), size)
+    open_ = members.where("g <> top").select(
+        "s", F.pmod(F.xxhash64("id"), F.col("ka")).alias("i"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("kb") - 1)).alias("j"), "id", F.lit(0).alias("side")
     )
-    open_ = named.groupBy("k").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("k")
-    left = materialise(named.join(open_, "k", "left_semi"))
-    other = left.select("k", F.col("c").alias("b"), F.col("g").alias("gb"))
-    return left.join(other, "k").where("g <> gb and c < b").select(F.col("c").alias("a"), "b").distinct()
+    every = members.select(
+        "s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("ka") - 1)).alias("i"), F.pmod(F.xxhash64("id"), F.col("kb")).alias("j"), "id", F.lit(1).alias("side")
+    )
+    dealt = open_.unionByName(every).join(held, "id").repartition("s", "i", "j").sortWithinPartitions("s", "i", "j", "id")
+
+    def product(batches):
+        for table in runs(batches, ["s", "i", "j"]):
+            a, b = block_ties(table, t)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return dealt.mapInArrow(product, "a bigint, b bigint").distinct()
 
 
 def _sized(pairs: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
@@ -216,6 +242,23 @@ def _sized(pairs: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
 def _verify(rows: DataFrame, pairs: DataFrame, size: int, t: Fraction, block_rows: int) -> DataFrame:
     """Linked pairs of ``pairs``, by overlap counts of blocks: one row of the matrix against up to ``block_rows`` others."""
     ids = materialise(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
+    held = _grams(rows, ids, size)
+    blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows))).cast("bigint").alias("k"))
+    members = pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("k")).alias("s"), F.col("b").alias("id"), F.lit(1).alias("side"))
+    leaders = blocks.select("a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("k") - 1)).alias("s"), F.col("a").alias("id"), F.lit(0).alias("side"))
+    dealt = members.unionByName(leaders).join(held, "id").repartition("a", "s").sortWithinPartitions("a", "s", "side", "id")
+
+    def product(batches):
+        for table in runs(batches, ["a", "s"]):
+            a, b = overlapping(table, t)
+            if len(b):
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return dealt.mapInArrow(product, "a bigint, b bigint").distinct()
+
+
+def _grams(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """n-gram sets of the documents in ``ids``, made anew from their texts."""
     maybe, _ = split(rows.where("doc is not null"), F.xxhash64("doc"), ids.select(F.xxhash64("id").alias("k")), "k", SIEVE_BITS)
 
     def grams(batches):
@@ -228,19 +271,56 @@ def _verify(rows: DataFrame, pairs: DataFrame, size: int, t: Fraction, block_row
                 names=["id", "grams"],
             )
 
-    held = materialise(maybe.mapInArrow(grams, "id bigint, grams array<bigint>").join(ids, "id", "left_semi").where("size(grams) > 0"))
-    blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows))).cast("bigint").alias("k"))
-    members = pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("k")).alias("s"), F.col("b").alias("id"), F.lit(1).alias("side"))
-    leaders = blocks.select("a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("k") - 1)).alias("s"), F.col("a").alias("id"), F.lit(0).alias("side"))
-    dealt = members.unionByName(leaders).join(held, "id").repartition("a", "s").sortWithinPartitions("a", "s", "side", "id")
+    made = maybe.mapInArrow(grams, "id bigint, grams array<bigint>").where("size(grams) > 0")
+    return materialise(made.join(ids.distinct(), "id", "left_semi"))
 
-    def product(batches):
-        for table in runs(batches, ["a", "s"]):
-            a, b = overlapping(table, t)
-            if len(b):
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return dealt.mapInArrow(product, "a bigint, b bigint").distinct()
+def block_ties(table: pa.Table, t: Fraction, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Per linked row of a block its component's smallest id: the block's sparse product, accumulated over column chunks."""
+    table = table.combine_chunks()
+    side = table.column("side").to_numpy()
+    ids = table.column("id").to_numpy()
+    lists = table.column("grams").combine_chunks()
+    ends = lists.offsets.to_numpy()
+    sizes = np.diff(ends)
+    values = lists.values.to_numpy()[ends[0]:ends[-1]]
+    row = np.repeat(np.arange(len(ids)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, row = values[order], row[order]
+    new = np.concatenate(([True], values[1:] != values[:-1]))
+    column = np.cumsum(new) - 1
+    # an n-gram of one row counts for no pair
+    several = np.bincount(column)[column] > 1
+    column, row = column[several], row[several]
+    if not len(column):
+        return ids[:0], ids[:0]
+    column = np.cumsum(np.concatenate(([True], column[1:] != column[:-1]))) - 1
+    open_, every = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    both = np.zeros((len(open_), len(every)), dtype=np.float32)
+    at = 0
+    for first in range(0, int(column[-1]) + 1, columns):
+        end = int(np.searchsorted(column, first + columns))
+        chunk = np.zeros((len(ids), columns), dtype=np.float32)
+        chunk[row[at:end], column[at:end] - first] = 1
+        both += chunk[open_] @ chunk[every].T
+        at = end
+    ok = linked(sizes[open_][:, None], sizes[every][None, :], both.astype(np.int64), t) & (ids[open_][:, None] != ids[every][None, :])
+    i, j = np.nonzero(ok)
+    if not len(i):
+        return ids[:0], ids[:0]
+    a, b = open_[i], every[j]
+    label = np.arange(len(ids))
+    while True:
+        least = label.copy()
+        np.minimum.at(least, a, label[b])
+        np.minimum.at(least, b, label[a])
+        least = least[least]
+        if (least == label).all():
+            break
+        label = least
+    used = np.unique(np.concatenate((a, b)))
+    used = used[ids[label[used]] != ids[used]]
+    return ids[used], ids[label[used]]
 
 
 def overlapping(table: pa.Table, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
