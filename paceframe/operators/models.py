@@ -14,7 +14,9 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JError
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException, PySparkValueError
 from pyspark.ml import Model
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -58,6 +60,14 @@ CLASSIFIERS = (
 )
 
 
+#: Hyper-parameters Spark's trees have no counterpart for; the tuning table names those it left out.
+IGNORED = ("min_split", "l2")
+#: Hyper-parameters that choose the weight column of a fit.
+WEIGHING = ("balanced", "positive")
+#: Presets that weigh the positive class by a tuned factor.
+POSITIVE_WEIGHTED = ("boosting_depthwise",)
+
+
 def spark_params(name: str, params: Mapping, rows: int, label_std: float = 1.0) -> dict:
     """Neutral hyper-parameters in terms of the Spark estimator.
 
@@ -92,7 +102,7 @@ def spark_params(name: str, params: Mapping, rows: int, label_std: float = 1.0)
             out["subsamplingRate"] = v
         elif k == "features":
             out["featureSubsetStrategy"] = v
-        elif k not in ("min_split", "l2", "balanced"):
+        elif k not in IGNORED:
             raise ValueError(f"unknown hyper-parameter {k}")
     return out
 
@@ -105,7 +115,8 @@ def make_estimator(
     if name not in (REGRESSORS if task == "regression" else CLASSIFIERS):
         return None
     chosen = {**DEFAULTS[name], **params}
-    weighted = weight is not None and chosen.get("balanced", True)
+    weighted = weight is not None and chosen.pop("balanced", True)
+    chosen.pop("positive", None)
     common = {"featuresCol": "features", "labelCol": label, **({"weightCol": weight} if weighted else {})}
     opts = spark_params(name, chosen, rows, label_std)
     if name in ("linear", "ridge", "lasso", "elastic_net"):
@@ -140,7 +151,7 @@ def _size_and_spread(df: DataFrame, label: str) -> tuple[int, float]:
 
 @dataclass
 class Fitted:
-    """Models by name, their metric table, and the names of those that failed."""
+    """Models by name, their metric table (failed ones with their status and no metrics), and the failures."""
 
     models: dict[str, Model] = field(default_factory=dict)
     table: DataFrame | None = None
@@ -148,8 +159,8 @@ class Fitted:
 
 
 def _metric_frame(spark: SparkSession, rows: list[dict], names: Sequence[str]) -> DataFrame:
-    schema = "model string, " + ", ".join(f"{n} double" for n in names)
-    return spark.createDataFrame([tuple(r[n] for n in ("model", *names)) for r in rows], schema)
+    schema = "model string, status string, " + ", ".join(f"{n} double" for n in names)
+    return spark.createDataFrame([(r["model"], r.get("status", "ok"), *(r.get(n) for n in names)) for r in rows], schema)
 
 
 def _loop(train: DataFrame, names: Sequence[str], build: Callable, measure: Callable) -> tuple[dict, list, dict]:
@@ -157,12 +168,16 @@ def _loop(train: DataFrame, names: Sequence[str], build: Callable, measure: Call
     for name in names:
         start = time.perf_counter()
         try:
-            model = build(name).fit(train)
+            estimator = build(name)
+            if estimator is None:
+                raise PySparkValueError(errorClass="VALUE_NOT_ALLOWED", messageParameters={"arg_name": "model", "allowed_values": str(CLASSIFIERS + REGRESSORS)})
+            model = estimator.fit(train)
             rows.append({"model": name, **measure(model), "seconds": time.perf_counter() - start})
             models[name] = model
-        except Exception as e:  # a model that cannot be fitted must not stop the others
-            log.warning("model %s skipped: %s", name, e)
+        except (PySparkException, Py4JError) as e:  # a model that cannot be fitted must not stop the others
+            log.warning("model %s failed: %s", name, e)
             failed[name] = str(e)
+            rows.append({"model": name, "status": "failed: " + str(e).strip().split("\n")[0]})
     return models, rows, failed
 
 
@@ -215,7 +230,17 @@ def fit_classifiers(
 
 def select_top(table: DataFrame, k: int = 5, rank: str = "rank") -> list[str]:
     """Names of the k best models, fewer if there are fewer."""
-    return [r["model"] for r in table.where(F.col(rank) <= k).orderBy(rank).select("model").collect()]
+    fitted = table.where(F.col("status") == "ok") if "status" in table.columns else table
+    return [r["model"] for r in fitted.orderBy(rank).limit(k).select("model").collect()]
+
+
+def _weight_column(combo: Mapping, weight: str | None) -> str | None:
+    """Weight column that a combination asks for: the caller's, none (all ones), or one for a positive factor."""
+    if combo.get("positive"):
+        return f"__w_{str(float(combo['positive'])).replace('.', '_')}"
+    if weight is None:
+        return None
+    return weight if combo.get("balanced", True) else "__w_one"
 
 
 def tune(
@@ -237,7 +262,16 @@ def tune(
         base = make_estimator(name, task, n, seed, label, weight, spread)
         combos: dict[tuple, dict] = {}
         for combo in expand_grid(grid):
-            combos.setdefault(tuple(sorted(spark_params(name, combo, n, spread).items())), combo)
+            plain = {k: v for k, v in combo.items() if k not in WEIGHING}
+            column = _weight_column(combo, weight)
+            known = {**spark_params(name, plain, n, spread), **({"weightCol": column} if column else {})}
+            combos.setdefault(tuple(sorted(known.items())), combo)
+        # one column per weighing, next to the caller's
+        factors = sorted({c["positive"] for c in combos.values() if c.get("positive")})
+        ready = data.withColumns({
+            "__w_one": F.lit(1.0),
+            **{_weight_column({"positive": f}, weight): F.when(F.col(label) == 1, F.lit(float(f))).otherwise(1.0) for f in factors},
+        })
         maps = [{base.getParam(p): v for p, v in c} for c in combos]
         score = (
             RegressionEvaluator(labelCol=label, metricName="r2") if task == "regression"
@@ -246,11 +280,11 @@ def tune(
         model = CrossValidator(
             estimator=base, estimatorParamMaps=maps, evaluator=score, numFolds=folds, foldCol="fold",
             parallelism=parallelism, seed=seed,
-        ).fit(data)
+        ).fit(ready)
     finally:
         data.unpersist()
     rows = [
-        (i, name, {k: str(v) for k, v in combo.items()}, float(s))
+        (i, name, {k: str(v) + (" (no counterpart)" if k in IGNORED else "") for k, v in combo.items()}, float(s))
         for i, (combo, s) in enumerate(zip(combos.values(), model.avgMetrics))
     ]
     return model, df.sparkSession.createDataFrame(

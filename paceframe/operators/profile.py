@@ -6,6 +6,7 @@ import itertools
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,18 +114,56 @@ def pearson(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+def moments(df: DataFrame, cols: Sequence[str], complete: bool = False, centre: bool = True) -> DataFrame:
+    """Sums of every ordered pair of columns over the rows where both are known: n, sum, squares, products.
+
+    Each task adds up four matrices of its rows and returns them once, so a pass costs
+    p x p numbers per task whatever the number of pairs. Columns are shifted by their
+    means first (unless ``centre`` is off), which keeps the sums exact enough.
+    """
+    names = list(cols)
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    numbers = numbers.dropna() if complete else numbers
+    means = numbers.agg(*[F.avg(c).alias(c) for c in names]).first() if centre else [0.0] * len(names)
+    shift = [float(v or 0.0) for v in means]
+
+    def add(batches):
+        p = len(names)
+        total = np.zeros((4, p, p))
+        for b in batches:
+            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in range(p)]) - shift
+            known = ~np.isnan(x)
+            x, m = np.where(known, x, 0.0), known.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        i, j = np.divmod(np.arange(p * p), p)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *(pa.array(t.ravel()) for t in total)], names=["i", "j", "n", "s", "q", "xy"]
+        )
+
+    each = numbers.mapInArrow(add, "i int, j int, n double, s double, q double, xy double")
+    sums = each.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "s", "q", "xy")])
+    label = lambda c: F.get(F.array(*[F.lit(v) for v in names]), F.col(c))
+    return sums.select("i", "j", label("i").alias("left_column"), label("j").alias("right_column"), "n", "s", "q", "xy")
+
+
+def _upper(m: DataFrame) -> DataFrame:
+    """Pairs i <= j with the sums of both sides."""
+    other = m.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("s2"), F.col("q").alias("q2"))
+    return m.where("i <= j").join(other, ["i", "j"])
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], complete: bool = False) -> DataFrame:
-    """Pearson correlation of every pair i <= j, in one aggregate.
+    """Pearson correlation of every pair i <= j over rows where both are known; NULL for a constant column.
 
     ``complete`` first drops rows with a NULL in any of the columns.
     """
-    rows = df.select(*cols)
-    rows = rows.dropna() if complete else rows
-    pairs = F.array(*[
-        F.struct(F.lit(a).alias("left_column"), F.lit(b).alias("right_column"), pearson(a, b).alias("corr"))
-        for a, b in itertools.combinations_with_replacement(cols, 2)
-    ])
-    return rows.agg(pairs.alias("p")).select(F.explode("p").alias("p")).select("p.*")
+    m = _upper(moments(df, cols, complete))
+    vx, vy = F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.col("q2") - F.col("s2") * F.col("s2") / F.col("n")
+    cov = F.col("xy") - F.col("s") * F.col("s2") / F.col("n")
+    # what is left of a constant column's variance is rounding
+    tiny = lambda v, q: v <= q * F.lit(1e-12)
+    corr = F.when((F.col("n") > 0) & ~tiny(vx, F.col("q")) & ~tiny(vy, F.col("q2")), cov / F.sqrt(vx * vy))
+    return m.select("left_column", "right_column", corr.alias("corr"))
 
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str, threshold: float = 0.1) -> DataFrame:
@@ -142,13 +181,8 @@ def collinear_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.8)
 
 def gram_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Uncentred sums of products of every pair i <= j over complete rows."""
-    pairs = F.array(*[
-        F.struct(
-            F.lit(a).alias("left_column"), F.lit(b).alias("right_column"),
-            F.sum(F.col(a).cast("double") * F.col(b)).alias("dot"),
-        ) for a, b in itertools.combinations_with_replacement(cols, 2)
-    ])
-    return df.select(*cols).dropna().agg(pairs.alias("p")).select(F.explode("p").alias("p")).select("p.*")
+    m = moments(df, cols, complete=True, centre=False).where("i <= j")
+    return m.select("left_column", "right_column", F.col("xy").alias("dot"))
 
 
 def vif(df: DataFrame, cols: Sequence[str]) -> DataFrame:

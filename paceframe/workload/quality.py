@@ -79,10 +79,10 @@ def rank_models(spark, sf):
 
 
 @query("top_models", with_roles(f"""
-WITH {_MODELS} SELECT model, {sql6('r2_test', 'r2_test')} FROM t ORDER BY r2_test DESC, model LIMIT 2""", "entries"))
+WITH {_MODELS} SELECT model, {sql6('r2_test', 'r2_test')} FROM t ORDER BY r2_test DESC, model LIMIT 5""", "entries"))
 def top_models(spark, sf):
     ranked = metrics.rank_models(_model_table(spark, sf), "r2_test")
-    return rounded(ranked.where(F.col("rank") <= 2).select("model", "r2_test"))
+    return rounded(ranked.where(F.col("rank") <= 5).select("model", "r2_test"))
 
 
 @query("best_model", with_roles(f"""

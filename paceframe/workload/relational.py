@@ -49,10 +49,12 @@ def null_marker_clean(spark, sf):
 
 @query("input_check", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS rows, {n}::BIGINT AS columns, count(*) > 0 AS ok FROM {t}"
-    for t, n in (("customer", 5), ("lineitem", 11), ("nation", 3), ("orders", 6), ("region", 2), ("supplier", 4))))
+    for t, n in (
+        ("region", 2), ("nation", 3), ("customer", 5), ("supplier", 4), ("part", 6), ("orders", 6), ("lineitem", 11),
+        ("events", 6), ("documents", 5), ("embeddings", 3), ("pages", 3), ("benchmark", 2), ("labels", 3), ("conversations", 4),
+    )))
 def input_check(spark, sf):
-    names = ("region", "nation", "customer", "supplier", "orders", "lineitem")
-    return src.input_report(src.load_tables(spark, sf, names))
+    return src.input_report(src.load_tables(spark, sf, src.TABLES))
 
 
 @query("step_row_counts", with_roles("""
@@ -370,16 +372,23 @@ def class_balance(spark, sf):
     return rounded(entity.class_balance(df, "split", "is_podium"))
 
 
-@query("distinct_rows", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+_LINEITEM = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
+
+@query("distinct_rows", "SELECT DISTINCT * REPLACE (l_shipdate::DATE AS l_shipdate) FROM lineitem")
 def distinct_rows(spark, sf):
-    return src.read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").dropDuplicates()
+    rows = src.read_table(spark, sf, "lineitem")
+    return rows.withColumn("l_shipdate", F.to_date("l_shipdate")).dropDuplicates()
 
 
 @query("duplicate_count", """
 SELECT cast(sum(n) AS BIGINT) AS rows, count(*) AS distinct_rows, cast(sum(n - 1) AS BIGINT) AS duplicates
-FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY %s)""" % ", ".join(_LINEITEM))
 def duplicate_count(spark, sf):
-    return entity.duplicate_count(src.read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
+    return entity.duplicate_count(src.read_table(spark, sf, "lineitem"))
 
 
 @query("distinct_counts", """

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from paceframe.operators import balance, cluster, encode, metrics, models, scale, split
+from paceframe.operators import balance, cluster, encode, metrics, models, profile, scale, split
 from paceframe.plans import defaults, scoring, segments
 
 
@@ -102,7 +102,8 @@ def test_fit_regressors_and_skips(linear):
     df, names = linear
     fitted = models.fit_regressors(df, names, "y", names=("linear", "ridge", "decision_tree", "no such model"))
     table = {r["model"]: r for r in fitted.table.collect()}
-    assert set(table) == {"linear", "ridge", "decision_tree"} and "no such model" in fitted.failed
+    assert {m for m, r in table.items() if r["status"] == "ok"} == {"linear", "ridge", "decision_tree"}
+    assert table["no such model"]["status"].startswith("failed") and "no such model" in fitted.failed
     assert table["linear"]["r2_test"] > 0.99 and table["linear"]["rank"] in (1, 2)
     checks = metrics.goal_checks(fitted.table).where("meets_goal").count()
     assert checks >= 2
@@ -174,3 +175,42 @@ def test_segments_separate_clear_groups(spark):
     assert cluster.best_k(table).first()["k"] == 3
     linear_table = segments.sweep(rows.select("id", "vec"), "id", (2, 3), restarts=2, exact=False)
     assert cluster.best_k(linear_table).first()["k"] == 3
+
+
+def _skewed_labels(spark, n=300):
+    rng = np.random.default_rng(12)
+    y = (rng.random(n) < 0.15).astype(int)
+    x = rng.normal(size=n) + y
+    rows = [(i, float(a), int(b), 3.0 if b else 1.0) for i, (a, b) in enumerate(zip(x, y))]
+    return spark.createDataFrame(rows, "row_id long, x double, target int, weight double")
+
+
+def test_weighing_makes_combinations_of_their_own(spark):
+    grid = {"rounds": [3], "depth": [2], "balanced": [True, False], "positive": [None]}
+    model, table = models.tune(_skewed_labels(spark), ["x"], "target", "random_forest", grid, "row_id", "classification", 2, weight="weight")
+    assert table.count() == 2
+    used = {m[model.getEstimator().weightCol] for m in model.getEstimatorParamMaps()}
+    assert used == {"weight", "__w_one"}
+    _, table = models.tune(
+        _skewed_labels(spark), ["x"], "target", "boosting_depthwise", {"rounds": [1], "positive": [1.0, 4.0, 9.0]}, "row_id", "classification", 2, weight="weight")
+    assert table.count() == 3
+
+
+def test_a_failed_fit_is_a_row(spark):
+    df = _skewed_labels(spark).withColumn("split", F.when(F.col("row_id") % 4 == 0, "test").otherwise("train"))
+    out = models.fit_regressors(df, ["x"], "target", names=["linear", "decision_tree"], params={"decision_tree": {"depth": 99}})
+    got = {r["model"]: r["status"] for r in out.table.collect()}
+    assert got["linear"] == "ok" and got["decision_tree"].startswith("failed") and models.select_top(out.table, 5) == ["linear"]
+
+
+def test_correlations_of_many_columns(spark):
+    rng = np.random.default_rng(13)
+    pdf = pd.DataFrame(rng.normal(size=(400, 120)) + 1000.0, columns=[f"c{i}" for i in range(120)])
+    pdf["c5"] = 7.0
+    pdf.loc[::7, "c3"] = np.nan
+    got = profile.corr_matrix(spark.createDataFrame(pdf), list(pdf.columns)).toPandas()
+    want = pdf.corr()
+    assert len(got) == 120 * 121 // 2
+    have = got["corr"].to_numpy(dtype=float)
+    full = np.array([want.loc[a, b] for a, b in zip(got["left_column"], got["right_column"])])
+    assert np.allclose(have, full, atol=1e-9, equal_nan=True)
