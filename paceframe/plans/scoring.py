@@ -17,8 +17,9 @@ from .regression import Encoders
 # Error assumed when no metrics are known, and inputs assumed when left out.
 DEFAULT_MAE = 2.5
 DEFAULT_INPUTS = {
-    "round": 1, "driver_points": 0.0, "team_points": 0.0, "driver_rank": 10, "team_rank": 5, "driver_wins": 0,
-    "team_wins": 0, "alt": 0.0, "lat": 0.0, "lng": 0.0,
+    "round": 1, "driver_points": 0.0, "team_points": 0.0, "driver_rank": 10, "team_rank": 5, "team_wins": 0,
+    "name": "Unknown Circuit", "location": "Unknown", "country": "Unknown", "lat": 0.0, "lng": 0.0, "alt": 0.0,
+    "driver_wins": 0,
 }
 
 
