@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 
 from .arrow import raw_texts, slices
 
-DIM = 4096
+DIM = 4096  # hashed byte n-grams
+WIDTH = DIM + 2  # and two terms for words that repeat the word before or don't
+WORD_WEIGHT = 8  # counts of a word pair, so they weigh like the n-grams of a word
 RANK = 48
-NEIGHBOURS = 25
+NEIGHBOURS = 15
 POWER = 8.0
 #: Labelled rows used for the space and as voters: the first by digest of the id. This bounds what is sent to every task.
 MAX_LABELLED = 4096
@@ -23,8 +26,8 @@ _MUL = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
 def counts(text: bytes) -> np.ndarray:
-    """Hashed counts of byte n-grams (one to three bytes) of a whole text; zero for an empty one."""
-    out = np.zeros(DIM, dtype=np.float32)
+    """Hashed counts of byte n-grams (one to three bytes) of a whole text, and of word pairs alike or not; zero for an empty one."""
+    out = np.zeros(WIDTH, dtype=np.float32)
     # a very long text is counted in pieces that overlap by two bytes, so memory stays bounded
     piece = 1 << 20
     for at in range(0, len(text), piece):
@@ -37,7 +40,10 @@ def counts(text: bytes) -> np.ndarray:
             for j in range(n):
                 h = (h ^ b[j:j + size]) * _MUL[j]
                 h ^= h >> np.uint32(15)
-            out += np.bincount(h & np.uint32(DIM - 1), minlength=DIM).astype(np.float32)
+            out[:DIM] += np.bincount(h & np.uint32(DIM - 1), minlength=DIM).astype(np.float32)
+    tokens = text.split()
+    alike = sum(map(operator.eq, tokens, tokens[1:]))
+    out[DIM:] = WORD_WEIGHT * alike, WORD_WEIGHT * (max(len(tokens) - 1, 0) - alike)
     return out
 
 
@@ -54,7 +60,7 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Voters:
-    """Space and labelled vectors; its size is bounded by DIM, RANK and the number of labelled rows."""
+    """Space and labelled vectors; its size is bounded by WIDTH, RANK and the number of labelled rows."""
 
     weight: np.ndarray
     mean: np.ndarray
@@ -91,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, doc: str, label: str, hel
     """Latent space and voters from a bounded sample of labelled rows.
 
     Labels of held-out ids are not read. Ids with several labels have their mean,
-    rounded. The sample's counts, ``max_labelled`` rows of DIM numbers, reach the driver.
+    rounded. The sample's counts, ``max_labelled`` rows of WIDTH numbers, reach the driver.
     """
     known = labels.where(F.col(doc).isNotNull() & F.col(label).isNotNull())
     if held_out:
@@ -115,7 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, doc: str, label: str, hel
     got = rows.mapInArrow(count, "id string, label int, counts binary")
     # documents that repeat an id vote once
     got = got.groupBy("id").agg(F.min("label").alias("label"), F.min("counts").alias("counts")).orderBy("id").collect()
-    table = np.stack([np.frombuffer(r["counts"], dtype=np.float32) for r in got]) if got else np.zeros((0, DIM), np.float32)
+    table = np.stack([np.frombuffer(r["counts"], dtype=np.float32) for r in got]) if got else np.zeros((0, WIDTH), np.float32)
     y = np.array([r["label"] for r in got], dtype=np.float64)
     use = table.sum(axis=1) > 0
     table, y = table[use], y[use]
@@ -124,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, doc: str, label: str, hel
     df = (table > 0).sum(axis=0)
     weight = (np.log((len(x) + 1) / (df + 1)) + 1).astype(np.float32)
     x *= weight
-    mean = x.mean(axis=0) if len(x) else np.zeros(DIM, np.float32)
+    mean = x.mean(axis=0) if len(x) else np.zeros(WIDTH, np.float32)
     x -= mean
     basis = principal(x, RANK)
     model = Voters(weight, mean, basis, np.zeros((0, basis.shape[1]), np.float32), y, prior)
@@ -162,7 +168,7 @@ def score(
     def vote(batches):
         for b in slices(batches, 256):
             bodies = raw_texts(b.column("_q_bytes"))
-            table = np.stack([counts(t or b"") for t in bodies]) if bodies else np.zeros((0, DIM), np.float32)
+            table = np.stack([counts(t or b"") for t in bodies]) if bodies else np.zeros((0, WIDTH), np.float32)
             got = np.clip(model.scores(table, neighbours, power), 0.0, 1.0)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(got, pa.float64())], names=[*keep, "score"])
 
