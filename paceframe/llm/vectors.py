@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .arrow import runs, slices
-from .graph import components
+from .graph import components, lowest
 
 COSINE = 0.95
 FILTERS_PER_VECTOR = 12  # expected directions that a vector exceeds
@@ -210,17 +210,5 @@ def _product(t: pa.Table, dim: int, cosine: float) -> tuple[np.ndarray, np.ndarr
                 lower[u, codes[v]] = 1
     earlier = lower @ lower.T > 0 if lower.shape[1] else np.zeros_like(linked)
     count = (np.where(earlier, 0, linked) * copies[None, :]).sum(axis=1)
-    least = _local_components(len(ids), a, b)
+    least = lowest(len(ids), a, b)
     return ids[used], count[used].astype(np.int64), ids[least[used]]
-
-
-def _local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest row index reachable over the links; rows come sorted by id."""
-    label = np.arange(n)
-    while True:
-        new = label.copy()
-        np.minimum.at(new, a, label[b])
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
