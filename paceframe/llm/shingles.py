@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .arrow import raw_texts, runs, slices
-from .graph import components
+from .graph import components, lowest
 from .sieve import split
 from .text import WordHashes, chain, mix, space_words
 
@@ -258,7 +258,7 @@ def _verify(rows: DataFrame, pairs: DataFrame, size: int, t: Fraction, block_row
 
 
 def _grams(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """n-gram sets of the documents in ``ids``, made anew from their texts."""
+    """n-gram sets of the documents in ``ids``, and of a few more that the bitmap lets through, made anew from their texts."""
     maybe, _ = split(rows.where("doc is not null"), F.xxhash64("doc"), ids.select(F.xxhash64("id").alias("k")), "k", SIEVE_BITS)
 
     def grams(batches):
@@ -271,8 +271,7 @@ def _grams(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 names=["id", "grams"],
             )
 
-    made = maybe.mapInArrow(grams, "id bigint, grams array<bigint>").where("size(grams) > 0")
-    return materialise(made.join(ids.distinct(), "id", "left_semi"))
+    return materialise(maybe.mapInArrow(grams, "id bigint, grams array<bigint>").where("size(grams) > 0"))
 
 
 def block_ties(table: pa.Table, t: Fraction, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
@@ -309,15 +308,7 @@ def block_ties(table: pa.Table, t: Fraction, columns: int = 4096) -> tuple[np.nd
     if not len(i):
         return ids[:0], ids[:0]
     a, b = open_[i], every[j]
-    label = np.arange(len(ids))
-    while True:
-        least = label.copy()
-        np.minimum.at(least, a, label[b])
-        np.minimum.at(least, b, label[a])
-        least = least[least]
-        if (least == label).all():
-            break
-        label = least
+    label = lowest(len(ids), a, b)
     used = np.unique(np.concatenate((a, b)))
     used = used[ids[label[used]] != ids[used]]
     return ids[used], ids[label[used]]
