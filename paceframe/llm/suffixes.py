@@ -249,21 +249,17 @@ def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
                 yield d, a, h, keys, pos, left, pos - last, around
 
     def grams(batches):
-        for b in slices(batches, 256):
+        for b in slices(batches, 1024):
             hs, cs, ids = [], [], []
             for d, _, h, keys, *_ in found([b]):
-                order = np.lexsort((keys, h))
-                h, keys = h[order], keys[order]
-                new = np.ones(len(h), dtype=bool)
-                new[1:] = (h[1:] != h[:-1]) | (keys[1:] != keys[:-1])
-                hs.append(h[new])
-                cs.append(keys[new])
-                ids.append(np.full(len(hs[-1]), d, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hs, cs, ids)], names=["h", "c", "doc"])
+                hs.append(h)
+                cs.append(keys)
+                ids.append(np.full(len(h), d, dtype=np.int64))
+            yield _collapsed(*(np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (hs, cs, ids)))
 
     # a gram in one document only is no candidate; one with the same bytes around it everywhere is settled by its first document
-    seen = materialise(own.mapInArrow(grams, "h bigint, c bigint, doc bigint").groupBy("h").agg(
-        F.min("doc").alias("first"), F.max("doc").alias("hi"), F.min("c").alias("c"), F.max("c").alias("c2"), F.count(F.lit(1)).alias("n")
+    seen = materialise(own.mapInArrow(grams, "h bigint, c bigint, doc bigint, n int").repartition("h").groupBy("h").agg(
+        F.min("doc").alias("first"), F.max("doc").alias("hi"), F.min("c").alias("c"), F.max("c").alias("c2"), F.sum("n").alias("n")
     ).where("first < hi").select("h", "c", "first", "n", (F.col("c") != F.col("c2")).alias("several")))
     known = collected(seen, "h", SIEVE_BITS)
     mixed = collected(seen.where("several"), "h", SIEVE_BITS)
@@ -271,15 +267,15 @@ def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
 
     def places(batches):
         for b in slices(batches, 256):
-            out = [[] for _ in range(6)]
+            out = [[] for _ in range(5)]
             for d, a, h, keys, pos, left, least, _ in found([b], known):
-                # both limits of the offsets in one number
-                for held, x in zip(out, (h, keys, np.full(len(h), d, dtype=np.int64), np.full(len(h), a, dtype=np.int64), pos, left * 64 + least)):
+                # the position and both limits of the offsets in one number
+                for held, x in zip(out, (h, keys, np.full(len(h), d, dtype=np.int64), np.full(len(h), a, dtype=np.int64), pos * 4096 + left * 64 + least)):
                     held.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], names=["h", "c", "doc", "a", "pos", "lim"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], names=["h", "c", "doc", "a", "at"])
 
     def contexts(batches):
-        for b in slices(batches, 2048):
+        for b in slices(batches, 1024):
             # copies of a context inside a batch are one row
             held: dict[tuple[int, int], list] = {}
             for d, _, h, keys, _, left, _, around in found([b], mixed):
@@ -308,9 +304,10 @@ def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
     windows = solved.where("w is null").select("h", "c", "l_from", "l_to", "first").unionByName(
         seen.where("not several").select("h", "c", F.lit(0).alias("l_from"), F.lit(STEPS - 1).alias("l_to"), "first")
     ).unionByName(_grouped_windows(solved.where("w is not null")))
-    at = own.mapInArrow(places, "h bigint, c bigint, doc bigint, a bigint, pos bigint, lim bigint")
-    start = F.col("pos") - F.least(F.col("l_to"), F.shiftright("lim", 6))
-    end = F.col("pos") - F.greatest(F.col("l_from"), F.col("lim").bitwiseAND(F.lit(63))) + LENGTH
+    at = own.mapInArrow(places, "h bigint, c bigint, doc bigint, a bigint, at bigint")
+    pos = F.shiftright("at", 12)
+    start = pos - F.least(F.col("l_to"), F.shiftright("at", 6).bitwiseAND(F.lit(63)))
+    end = pos - F.greatest(F.col("l_from"), F.col("at").bitwiseAND(F.lit(63))) + LENGTH
     hits = at.join(windows, ["h", "c"]).where("first < doc").select(
         F.col("doc").alias("_sx_doc"), F.col("a").alias("_sx_a"), F.struct(start.alias("start"), end.alias("end")).alias("s")
     ).where("s.end - s.start >= " + str(LENGTH))
@@ -318,6 +315,22 @@ def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
     return hits.groupBy("_sx_doc", "_sx_a").agg(F.collect_list("s").alias("_sx_spans"))
 
 
+def _collapsed(h: np.ndarray, c: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+    """One or two rows per gram of a batch, with its extreme documents and contexts; ``n`` counts the anchors."""
+    order = np.argsort(h, kind="stable")
+    h, c, doc = h[order], c[order], doc[order]
+    at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, dtype=np.int64)
+    n = np.diff(np.concatenate((at, [len(h)])))
+    if len(at):
+        c1, c2, d1, d2 = (f.reduceat(x, at) for x in (c, doc) for f in (np.minimum, np.maximum))
+    else:
+        c1 = c2 = d1 = d2 = at
+    two = (c1 != c2) | (d1 != d2)
+    cols = ((h[at], h[at][two]), (c1, c2[two]), (d1, d2[two]), (n, np.zeros(int(two.sum()), dtype=np.int64)))
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), k) for x, k in zip(cols, kinds)], names=["h", "c", "doc", "n"])
+
+
 def _grouped_windows(each: DataFrame) -> DataFrame:
     """Windows of anchors in very many documents, grouped by their bytes with partial minima."""
     least = each.groupBy("h", "l_from", "w").agg(F.min("first").alias("least"))
@@ -361,7 +374,7 @@ def _exploded(b: pa.RecordBatch) -> pa.RecordBatch:
 def _sorted_windows(batches):
     """Runs of window offsets with the smallest document, of contexts sorted by gram and key.
 
-    Whole grams are gathered up to some ten thousand rows; a gram has no more rows
+    Whole grams are gathered up to some thousand rows; a gram has no more rows
     than documents, and hot grams do not come here.
     """
     held, rows = [], 0
@@ -369,7 +382,7 @@ def _sorted_windows(batches):
         if not b.num_rows:
             continue
         h = b.column("h").to_numpy()
-        if rows >= 20_000:
+        if rows >= 8_000:
             # cut where the next gram begins
             new = np.flatnonzero(h != held[-1].column("h")[-1].as_py())
             cut = int(new[0]) if len(new) else len(h)
