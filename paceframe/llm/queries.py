@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
 from . import decontaminate, licenses, lines, mixing, quality, secrets, shingles, suffixes, urls, vectors
+from .oracles import ORACLES  # noqa: F401
 
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 5) = 0"
 
@@ -100,4 +101,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_url_filter, op7_embedding_near_dedup, op8_source_mixing, op9_decontamination, op10_line_dedup, pipeline,
     )
 }
-ORACLES: dict[str, str] = {}
