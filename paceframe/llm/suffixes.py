@@ -18,10 +18,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
-from .arrow import merged, raw_texts, slices
+from .arrow import merged, raw_texts, runs, slices
 from .sieve import collected, may_hold, split
 from .text import mix
+from .store import materialise
 
 LENGTH = 50
 GRAM = 16
@@ -298,21 +298,44 @@ def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
     # rows of a hot gram are spread, all others of a gram meet in one place
     dealt = own.mapInArrow(contexts, "h bigint, c bigint, l bigint, x binary, lo bigint, hi bigint, part bigint").repartition(
         "h", "part").sortWithinPartitions("part", "h", "c")
-    solved = materialise(dealt.mapInArrow(
-        _solved, "h bigint, c bigint, l_from int, l_to int, first bigint, hi bigint, w binary"
-    ))
-    windows = solved.where("w is null").select("h", "c", "l_from", "l_to", "first").unionByName(
-        seen.where("not several").select("h", "c", F.lit(0).alias("l_from"), F.lit(STEPS - 1).alias("l_to"), "first")
+    run = "array<struct<first:bigint,l_from:int,l_to:int>>"
+    solved = materialise(dealt.mapInArrow(_solved, f"h bigint, c bigint, runs {run}, hi bigint, w binary"))
+    whole = F.array(F.struct(F.col("first"), F.lit(0).alias("l_from"), F.lit(STEPS - 1).alias("l_to"))).cast(run)
+    windows = solved.where("w is null").select("h", "c", "runs").unionByName(
+        seen.where("not several").select("h", "c", whole.alias("runs"))
     ).unionByName(_grouped_windows(solved.where("w is not null")))
     at = own.mapInArrow(places, "h bigint, c bigint, doc bigint, a bigint, at bigint")
-    pos = F.shiftright("at", 12)
-    start = pos - F.least(F.col("l_to"), F.shiftright("at", 6).bitwiseAND(F.lit(63)))
-    end = pos - F.greatest(F.col("l_from"), F.col("at").bitwiseAND(F.lit(63))) + LENGTH
-    hits = at.join(windows, ["h", "c"]).where("first < doc").select(
-        F.col("doc").alias("_sx_doc"), F.col("a").alias("_sx_a"), F.struct(start.alias("start"), end.alias("end")).alias("s")
-    ).where("s.end - s.start >= " + str(LENGTH))
-    # a text has no more of them than anchors times the offsets of a window
-    return hits.groupBy("_sx_doc", "_sx_a").agg(F.collect_list("s").alias("_sx_spans"))
+    # all windows of an anchor hold its gram, so those with an earlier document cover one range
+    earlier = F.filter("runs", lambda r: r["first"] < F.col("doc"))
+    hits = at.join(windows, ["h", "c"]).select("doc", "a", "at", earlier.alias("runs")).where("size(runs) > 0").select(
+        "doc", "a", F.shiftright("at", 12).alias("pos"),
+        F.least(F.array_max(F.transform("runs", lambda r: r["l_to"])), F.shiftright("at", 6).bitwiseAND(F.lit(63))).alias("before"),
+        F.greatest(F.array_min(F.transform("runs", lambda r: r["l_from"])), F.col("at").bitwiseAND(F.lit(63))).alias("after"),
+    ).select("doc", "a", (F.col("pos") - F.col("before")).alias("start"), (F.col("pos") - F.col("after") + LENGTH).cast("bigint").alias("end"))
+    dealt = hits.repartition("doc", "a").sortWithinPartitions("doc", "a", "start")
+    return dealt.mapInArrow(_joined, "_sx_doc bigint, _sx_a bigint, _sx_spans array<struct<start:bigint,end:bigint>>")
+
+
+def _joined(batches):
+    """Disjoint ranges of each text; a text has no more ranges than anchors."""
+    for group in _several(runs(batches, ["doc", "a"]), 512):
+        spans = [merged(list(zip(t.column("start").to_pylist(), t.column("end").to_pylist()))) for t in group]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([t.column(k)[0].as_py() for t in group], pa.int64()) for k in ("doc", "a")]
+            + [pa.array([[{"start": i, "end": j} for i, j in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+            names=["_sx_doc", "_sx_a", "_sx_spans"],
+        )
+
+
+def _several(items, n: int):
+    held = []
+    for x in items:
+        held.append(x)
+        if len(held) == n:
+            yield held
+            held = []
+    if held:
+        yield held
 
 
 def _collapsed(h: np.ndarray, c: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
@@ -333,8 +356,11 @@ def _collapsed(h: np.ndarray, c: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
 
 def _grouped_windows(each: DataFrame) -> DataFrame:
     """Windows of anchors in very many documents, grouped by their bytes with partial minima."""
+    each = each.select("h", "c", "hi", "w", F.inline("runs"))
     least = each.groupBy("h", "l_from", "w").agg(F.min("first").alias("least"))
-    return each.join(least, ["h", "l_from", "w"]).where("least < hi").select("h", "c", "l_from", "l_to", F.col("least").alias("first"))
+    found = each.join(least, ["h", "l_from", "w"]).where("least < hi")
+    # a context has no more of them than a window has offsets
+    return found.groupBy("h", "c").agg(F.collect_list(F.struct(F.col("least").alias("first"), "l_from", "l_to")).alias("runs"))
 
 
 def _solved(batches):
@@ -363,14 +389,18 @@ def _solved(batches):
 def _exploded(b: pa.RecordBatch) -> pa.RecordBatch:
     rows = []
     for h, c, l, x, lo, hi in zip(*(b.column(k).to_pylist() for k in ("h", "c", "l", "x", "lo", "hi"))):
-        rows += [(h, c, o, o, lo, hi, x[l - o:l - o + LENGTH]) for o in range(max(0, l + LENGTH - len(x)), l + 1)]
-    cols = zip(*rows) if rows else [()] * 7
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+        rows += [(h, c, [{"first": lo, "l_from": o, "l_to": o}], hi, x[l - o:l - o + LENGTH]) for o in range(max(0, l + LENGTH - len(x)), l + 1)]
+    cols = zip(*rows) if rows else [()] * 5
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(v), k) for v, k in zip(cols, kinds)], names=["h", "c", "l_from", "l_to", "first", "hi", "w"]
+        [pa.array(list(v), k) for v, k in zip(cols, (pa.int64(), pa.int64(), _run_type(), pa.int64(), pa.binary()))],
+        names=["h", "c", "runs", "hi", "w"],
     )
 
 
+def _run_type() -> pa.DataType:
+    return pa.list_(pa.struct([("first", pa.int64()), ("l_from", pa.int32()), ("l_to", pa.int32())]))
+
+
 def _sorted_windows(batches):
     """Runs of window offsets with the smallest document, of contexts sorted by gram and key.
 
@@ -424,10 +454,15 @@ def _windows(t: pa.Table) -> pa.RecordBatch:
     value = first[row, start]
     ok = value != _FAR
     row, start, end, value = row[ok], start[ok], end[ok], value[ok]
+    at = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else np.zeros(0, dtype=np.int64)
+    each = pa.StructArray.from_arrays(
+        [pa.array(value, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32())], names=["first", "l_from", "l_to"]
+    )
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate((at, [len(row)])), pa.int32()), each)
+    keep = row[at]
     return pa.RecordBatch.from_arrays(
-        [pa.array(h[row]), pa.array(c[row]), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(value),
-         pa.array(hi[row]), pa.nulls(len(row), pa.binary())],
-        names=["h", "c", "l_from", "l_to", "first", "hi", "w"],
+        [pa.array(h[keep]), pa.array(c[keep]), lists.cast(_run_type()), pa.array(hi[keep]), pa.nulls(len(keep), pa.binary())],
+        names=["h", "c", "runs", "hi", "w"],
     )
 
 
