@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paceframe.llm import decontaminate, lines, mixing, quality, shingles
 from paceframe.llm.queries import HELD_OUT
-from paceframe.session import materialise
+from paceframe.llm.store import materialise
 from paceframe.sources.tables import read_table
 
 #: A language-agnostic SQL check of run() is not possible: the classifier is a trained model.
