@@ -19,6 +19,10 @@ BACK_OF_GRID = 20
 SEGMENT_FEATURES = (
     "avg_grid", "avg_finish", "win_rate", "podium_rate", "top10_rate", "dnf_rate", "avg_positions_gained",
 )
+# Team profile columns clustered on, in the given order.
+TEAM_FEATURES = (
+    "avg_points_per_race", "win_rate", "podium_rate", "dnf_rate", "scoring_consistency", "avg_grid",
+)
 
 
 def _numbers(results: DataFrame) -> DataFrame:

@@ -93,3 +93,15 @@ def detect_anomalies(labelled: DataFrame, id_col: str, seed: int = 42, neighbour
     df = materialise(anomaly.lof_scores(materialise(df), id_col, k=neighbours))
     df = anomaly.flag_lowest(df, "lof_score", name="is_anomaly_lof")
     return anomaly.consensus(df, ("is_anomaly_isolation", "is_anomaly_distance", "is_anomaly_lof"))
+
+
+def misplaced(model: KMeansModel, labelled: DataFrame) -> DataFrame:
+    """One row: labelled rows, whether at most k clusters are used, and rows that are not with their nearest centre."""
+    centres = labelled.sparkSession.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster long, centroid array<double>"
+    )
+    near = cluster.assign_nearest(labelled, centres)
+    return near.agg(
+        F.count(F.lit(1)).alias("rows"), (F.count_distinct("cluster") <= model.getK()).alias("within_k"),
+        F.count_if(F.col("assigned") != F.col("cluster")).alias("misplaced"),
+    )

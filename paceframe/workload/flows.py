@@ -9,7 +9,7 @@ from ..plans import classification, laps, regression, scoring, segments
 from ..session import materialise
 from . import roles as R
 from .flow_sql import CLASSIFICATION_PREP, LAP_PREP, REGRESSION_PREP
-from .registry import query, rounded, sql6
+from .registry import ORACLES, query, rounded, sql6
 from .relational import regression_rows
 from .roles import with_roles
 
@@ -91,7 +91,7 @@ def tune_classifier(spark, sf):
     df, names = _plain_rows(spark, sf)
     df = df.withColumn("y", (F.col("y") <= 3).cast("double"))
     return models.tune(df, [n for n in names if n != "points"] + ["points"], "y", "logistic_regression",
-                       {"c": [0.01, 1.0]}, "result_id", "classification", folds=3)[1]
+                       {"c": [0.01, 0.1, 1.0, 10.0]}, "result_id", "classification", folds=5)[1]
 
 
 @query("feature_importance")
@@ -110,7 +110,7 @@ def sample_then_full(spark, sf):
 @query("learning_curve")
 def learning_curve(spark, sf):
     df, names = _plain_rows(spark, sf)
-    return models.learning_curve(df, names, "y", "result_id", "ridge", steps=4, folds=3)
+    return models.learning_curve(df, names, "y", "result_id", "ridge")
 
 
 @query("lap_prep", LAP_PREP)
@@ -188,10 +188,31 @@ def _profiles(spark, sf):
 
 @query("kmeans_fit")
 def kmeans_fit(spark, sf):
-    _, rows = segments.train_segments(_profiles(spark, sf), entity.SEGMENT_FEATURES, 3, restarts=3)
+    _, rows = segments.train_segments(_profiles(spark, sf), entity.SEGMENT_FEATURES, 3)
     return rows.select("driver_id", "cluster")
 
 
+# any k-means result puts each row with its nearest centre; SQL states the counts
+@query("kmeans_nearest", f"SELECT count(*) AS rows, true AS within_k, 0::BIGINT AS misplaced FROM ({ORACLES['driver_features']})")
+def kmeans_nearest(spark, sf):
+    model, rows = segments.train_segments(_profiles(spark, sf), entity.SEGMENT_FEATURES, 3)
+    return segments.misplaced(model, rows)
+
+
+@query("team_segments", f"SELECT count(*) AS rows, true AS within_k, 0::BIGINT AS misplaced FROM ({ORACLES['constructor_features']})")
+def team_segments(spark, sf):
+    """Teams, scaled robustly and clustered into three."""
+    model, rows = segments.train_segments(entity.constructor_features(R.results(spark, sf), R.teams(spark, sf)), entity.TEAM_FEATURES, 3)
+    return segments.misplaced(model, rows)
+
+
+@query("team_sweep")
+def team_sweep(spark, sf):
+    """Internal measures of the team clusters for k 3 to 7."""
+    df = segments.scaled_vectors(entity.constructor_features(R.results(spark, sf), R.teams(spark, sf)), entity.TEAM_FEATURES)
+    return rounded(segments.sweep(df, "team_id", range(3, 8)))
+
+
 @query("pca_2d")
 def pca_2d(spark, sf):
     rows, _ = cluster.pca_project(_profiles(spark, sf), entity.SEGMENT_FEATURES)
@@ -210,12 +231,12 @@ def explained_variance(spark, sf):
 @query("cluster_sweep")
 def cluster_sweep(spark, sf):
     df = segments.scaled_vectors(_profiles(spark, sf), entity.SEGMENT_FEATURES)
-    return rounded(segments.sweep(df, "driver_id", (3, 4), restarts=2))
+    return rounded(segments.sweep(df, "driver_id", range(3, 10)))
 
 
 @query("cluster_report")
 def cluster_report(spark, sf):
-    _, rows = segments.train_segments(_profiles(spark, sf), entity.SEGMENT_FEATURES, 3, restarts=3)
+    _, rows = segments.train_segments(_profiles(spark, sf), entity.SEGMENT_FEATURES, 3)
     return rounded(segments.evaluate_segments(rows, "driver_id", entity.SEGMENT_FEATURES)[1])
 
 
@@ -227,7 +248,7 @@ def hierarchical_check(spark, sf):
 
 @query("driver_anomalies")
 def driver_anomalies(spark, sf):
-    _, rows = segments.train_segments(_profiles(spark, sf), entity.SEGMENT_FEATURES, 3, restarts=3)
+    _, rows = segments.train_segments(_profiles(spark, sf), entity.SEGMENT_FEATURES, 3)
     out = segments.detect_anomalies(rows, "driver_id")
     return out.select("driver_id", "cluster", "anomaly_votes", "is_anomaly_final")
 
