@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,10 +48,11 @@ def counts(text: bytes) -> np.ndarray:
     return out
 
 
-def damped(rows: np.ndarray) -> np.ndarray:
-    """Shares of counts, damped by a square root, so a text's length does not matter."""
+def damp(rows: np.ndarray) -> np.ndarray:
+    """Counts to shares, in place, damped by a square root, so a text's length does not matter."""
     total = rows.sum(axis=1, keepdims=True)
-    return np.sqrt(np.divide(rows, total, out=np.zeros_like(rows), where=total > 0))
+    np.divide(rows, total, out=rows, where=total > 0)
+    return np.sqrt(rows, out=rows)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -72,7 +74,7 @@ class Voters:
     def place(self, rows: np.ndarray) -> np.ndarray:
         """Latent vectors of unit length; a text without bytes has a zero vector."""
         some = rows.sum(axis=1) > 0
-        out = unit((damped(rows) * self.weight - self.mean) @ self.basis)
+        out = unit((damp(rows.copy()) * self.weight - self.mean) @ self.basis)
         out[~some] = 0
         return out
 
@@ -114,20 +116,26 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, doc: str, label: str, hel
         for b in slices(batches, 256):
             found = [counts(t or b"") for t in raw_texts(b.column("_q_text"))]
             yield pa.RecordBatch.from_arrays(
-                [b.column("_q_id").cast(pa.string()), b.column("_q_label").cast(pa.int32()), pa.array([x.astype(np.float32).tobytes() for x in found], pa.binary())],
+                # counts are mostly zeros
+                [b.column("_q_id").cast(pa.string()), b.column("_q_label").cast(pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in found], pa.binary())],
                 names=["id", "label", "counts"],
             )
 
     got = rows.mapInArrow(count, "id string, label int, counts binary")
     # documents that repeat an id vote once
     got = got.groupBy("id").agg(F.min("label").alias("label"), F.min("counts").alias("counts")).orderBy("id").collect()
-    table = np.stack([np.frombuffer(r["counts"], dtype=np.float32) for r in got]) if got else np.zeros((0, WIDTH), np.float32)
+    # one table, filled and changed in place: the driver holds it once
+    x = np.zeros((len(got), WIDTH), dtype=np.float32)
+    for i, r in enumerate(got):
+        x[i] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.float32)
     y = np.array([r["label"] for r in got], dtype=np.float64)
-    use = table.sum(axis=1) > 0
-    table, y = table[use], y[use]
+    del got
+    use = x.sum(axis=1) > 0
+    if not use.all():
+        x, y = x[use], y[use]
     prior = float(y.mean()) if len(y) else 0.5
-    x = damped(table)
-    df = (table > 0).sum(axis=0)
+    df = np.count_nonzero(x, axis=0)
+    damp(x)
     weight = (np.log((len(x) + 1) / (df + 1)) + 1).astype(np.float32)
     x *= weight
     mean = x.mean(axis=0) if len(x) else np.zeros(WIDTH, np.float32)
