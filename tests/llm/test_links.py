@@ -97,6 +97,34 @@ def test_every_vector_has_a_direction_and_decoding_is_complete():
     assert want <= set(zip(at.tolist(), which.tolist()))
 
 
+def different_pairs(n, cosine, dim=64, seed=7):
+    """Unit vectors of which 2 i and 2 i + 1 have exactly this cosine; no two are equal."""
+    rng = np.random.default_rng(seed)
+    x, y = rng.standard_normal((2, n // 2, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y *= np.sqrt(1 - cosine**2) / np.linalg.norm(y, axis=1, keepdims=True)
+    return np.stack([x, cosine * x + y], axis=1).reshape(n, dim)
+
+
+@pytest.mark.parametrize("n", [2000, 10000, 50000, 500000])
+def test_different_vectors_meet_at_every_size(n):
+    code = vectors.CapCode(64, n)
+    for cosine, least in ((0.95, 0.98), (0.97, 0.99), (0.99, 0.995)):
+        at, which = code.decode(different_pairs(4000, cosine))
+        keys = np.unique((at // 2 * code.size**3 + which) * 2 + at % 2)
+        both = keys[:-1][(keys[:-1] ^ 1) == keys[1:]] // 2
+        assert len(np.unique(both // code.size**3)) >= least * 2000, cosine
+
+
+def test_links_of_different_vectors_are_found_and_counted_once(spark):
+    x = different_pairs(3000, 0.9501)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicates(df).collect()}
+    assert max(got.values()) == 1
+    assert sum(got.values()) >= 0.98 * 3000
+
+
 def test_repeated_and_null_vector_ids(spark):
     rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (2, [1.0, 0.0]), (None, [1.0, 0.0]), (9, [0.0, 1.0])]
     got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
