@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 
 from paceframe.llm import decontaminate, lines, mixing, quality, shingles
@@ -12,6 +14,9 @@ from paceframe.sources.tables import read_table
 #: A language-agnostic SQL check of run() is not possible: the classifier is a trained model.
 ORACLE_SQL = None
 
+SHINGLE_WORDS = 5
+SHINGLE_SIMILARITY = Fraction(4, 5)
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the neighbours' votes do not reject."""
@@ -24,8 +29,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return shingles.keep_one(docs)
+    """One document of each group of near duplicates: five words and 0.8, where op3 has three and 0.9."""
+    return shingles.keep_one(docs, size=SHINGLE_WORDS, threshold=SHINGLE_SIMILARITY)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,12 +45,12 @@ class Sets:
         self.up[b] = a
 
 
-def jaccard(docs, num=90, den=100):
+def jaccard(docs, num=90, den=100, size=3):
     """docs: (id, text) -> {id: (n, component)}."""
     sets = {}
     for i, t in docs:
         w = [x for x in re.split(r"[\x20\x09-\x0D]+", (t or "").translate(LOWER)) if x]
-        sets[i] = {tuple(w[k:k + 3]) for k in range(max(1, len(w) - 2))} if w else set()
+        sets[i] = {tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1))} if w else set()
     where = defaultdict(list)
     for i, s in sets.items():
         for g in s:

@@ -151,6 +151,28 @@ def test_pipeline_stages_keep_the_columns(spark):
     assert len(corpus_pipeline.STAGES) == 5
 
 
+def test_pipeline_drops_near_copies_of_five_words(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 300")
+    rows = [r.asDict() for r in docs.collect()]
+    for r in [r for r in rows if len((r["text"] or "").split()) >= 60][:20]:
+        w = r["text"].split()[:50]
+        # one word of 50 changed: 41 of 51 five-word, 45 of 51 three-word n-grams are shared
+        for k, word in ((0, w[25]), (1, "changed")):
+            rows.append({**r, "doc_id": 10**6 + 2 * r["doc_id"] + k, "text": " ".join(w[:25] + [word] + w[26:])})
+    spark.createDataFrame(rows, docs.schema).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{FOLDER}/{name}.parquet")
+    folder = str(tmp_path)
+    left = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        left = stage(spark, left, folder)
+    texts = [(r["doc_id"], r["text"]) for r in left.collect()]
+    kept = [i for i, (_, c) in brute.jaccard(texts, 80, 100, 5).items() if i == c]
+    assert len(kept) < sum(i == c for i, (_, c) in brute.jaccard(texts).items())
+    want = corpus_pipeline.benchmark_decontamination(spark, left.where(F.col("doc_id").isin(kept)), folder)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()) == sorted(r["doc_id"] for r in want.collect())
+
+
 def test_every_operator_has_a_query():
     names = [n for n in queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in queries()
