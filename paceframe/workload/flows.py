@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cluster, entity, metrics, models, split
-from ..plans import classification, laps, regression, scoring, segments
+from ..operators import balance, cluster, entity, metrics, models, split
+from ..plans import classification, defaults, laps, regression, scoring, segments
 from ..session import materialise
 from . import roles as R
 from .flow_sql import CLASSIFICATION_PREP, LAP_PREP, REGRESSION_PREP
@@ -15,10 +15,6 @@ from .roles import with_roles
 
 ERA = (1995, 2001)
 CUT = "2000-01-01"
-FAST = {  # registered runs use short forests; library defaults are 100 rounds
-    "random_forest": {"rounds": 10, "depth": 6}, "gradient_boosting": {"rounds": 5},
-    "boosting_depthwise": {"rounds": 3}, "boosting_leafwise": {"rounds": 3}, "boosting_oblivious": {"rounds": 3},
-}
 
 
 def tables(spark, sf):
@@ -59,7 +55,14 @@ def regression_prep(spark, sf):
 @query("fit_regressors")
 def fit_regressors(spark, sf):
     df, fitted = _regression(spark, sf)
-    return models.fit_regressors(df, fitted.columns, "position", params=FAST).table.drop("seconds")
+    return models.fit_regressors(df, fitted.columns, "position").table.drop("seconds")
+
+
+@query("regression_train")
+def regression_train(spark, sf):
+    """Fit all regressors, tune the best five over their grids, rank the tuned ones."""
+    df, fitted = _regression(spark, sf)
+    return regression.train(df, fitted.columns)[2].drop("seconds")
 
 
 @query("classification_prep", CLASSIFICATION_PREP)
@@ -70,7 +73,15 @@ def classification_prep(spark, sf):
 @query("fit_classifiers")
 def fit_classifiers(spark, sf):
     df, names = classification.encode_flow(classification.prepare(tables(spark, sf), CUT))
-    return models.fit_classifiers(df, names, "target", params=FAST).table.drop("seconds")
+    df = classification.weighted(materialise(df))
+    return models.fit_classifiers(df, names, "target", weight="weight").table.drop("seconds")
+
+
+@query("classification_train")
+def classification_train(spark, sf):
+    """Balance, fit all classifiers, tune the best five over their grids, rank the tuned ones."""
+    df, names = classification.encode_flow(classification.prepare(tables(spark, sf), CUT))
+    return classification.train(df, names)[2].drop("seconds")
 
 
 def _plain_rows(spark, sf):
@@ -83,28 +94,30 @@ def _plain_rows(spark, sf):
 @query("tune_regressor")
 def tune_regressor(spark, sf):
     df, names = _plain_rows(spark, sf)
-    return models.tune(df, names, "y", "ridge", {"alpha": [0.01, 0.1, 1.0, 10.0]}, "result_id")[1]
+    grids = defaults.REGRESSION_GRIDS
+    return models.tune_many(df, names, "y", list(grids), grids, "result_id")[1]
 
 
 @query("tune_classifier")
 def tune_classifier(spark, sf):
     df, names = _plain_rows(spark, sf)
-    df = df.withColumn("y", (F.col("y") <= 3).cast("double"))
-    return models.tune(df, [n for n in names if n != "points"] + ["points"], "y", "logistic_regression",
-                       {"c": [0.01, 0.1, 1.0, 10.0]}, "result_id", "classification", folds=5)[1]
+    df = classification.weighted(materialise(df.withColumn("target", (F.col("y") <= 3).cast("double")).drop("y")))
+    ratios = [r for r in balance.class_weight_ratio(df.where(F.col("split") == "train"), "target").first() if r]
+    grids = {n: {**g, "positive": ratios} if n in models.POSITIVE_WEIGHTED else g for n, g in defaults.CLASSIFICATION_GRIDS.items()}
+    return models.tune_many(df, names, "target", list(grids), grids, "result_id", "classification", weight="weight")[1]
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
     df, names = _plain_rows(spark, sf)
-    fitted = models.fit_regressors(df, names, "y", names=("random_forest",), params=FAST)
+    fitted = models.fit_regressors(df, names, "y", names=("random_forest",))
     return models.feature_importance(fitted.models["random_forest"], names, 10)
 
 
 @query("sample_then_full")
 def sample_then_full(spark, sf):
     df, names = _plain_rows(spark, sf)
-    return models.sample_then_full(df, names, "y", "result_id", names=("ridge", "decision_tree"))[1].table.drop("seconds")
+    return models.sample_then_full(df, names, "y", "result_id", names=models.REGRESSORS)[1].table.drop("seconds")
 
 
 @query("learning_curve")

@@ -55,3 +55,38 @@ def test_classification_balance_and_training(spark):
         df, names, names=("random_forest",), grids={"random_forest": {k: [v] for k, v in small.items()}}, folds=2,
         params={"random_forest": small})
     assert winner == "random_forest" and 0 <= table.first()["f1"] <= 1
+
+
+class Asked(Exception):
+    pass
+
+
+def test_registered_fits_are_whole(spark, monkeypatch):
+    from __spark_entry__ import SMOKE_DIR, queries
+    from paceframe.operators import models
+    from paceframe.plans import classification, defaults, regression
+
+    seen = []
+
+    def note(*args, **kwargs):
+        seen.append((args, kwargs))
+        raise Asked
+
+    known = queries()
+    for module, name in ((models, "fit_regressors"), (models, "fit_classifiers"), (models, "tune_many"),
+                         (models, "sample_then_full"), (regression, "train"), (classification, "train")):
+        monkeypatch.setattr(module, name, note)
+    calls = {}
+    for name in ("fit_regressors", "fit_classifiers", "feature_importance", "tune_regressor", "tune_classifier",
+                 "sample_then_full", "regression_train", "classification_train"):
+        with pytest.raises(Asked):
+            known[name](spark, SMOKE_DIR)
+        calls[name] = seen.pop()
+    assert not any("params" in kwargs for _, kwargs in calls.values())
+    args, kwargs = calls["fit_classifiers"]
+    assert kwargs["weight"] == "weight" and len(args[0].select("target", "weight").distinct().take(3)) == 2
+    assert calls["tune_regressor"][0][4] == defaults.REGRESSION_GRIDS
+    args, kwargs = calls["tune_classifier"]
+    assert args[4].keys() == defaults.CLASSIFICATION_GRIDS.keys() and kwargs["weight"] == "weight"
+    assert len(args[4]["boosting_depthwise"]["positive"]) == 3
+    assert calls["sample_then_full"][1]["names"] == models.REGRESSORS
