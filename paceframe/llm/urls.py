@@ -35,29 +35,44 @@ RULES = (
     Rule("org", "/fr/", False),
 )
 
-# labelled URLs the model is trained on: junk topics and ordinary sites
-JUNK_URLS = tuple(
-    f"{scheme}://{sub}{name}.example.{top}/{path}"
-    for scheme, sub, top, path in (
-        ("http", "", "com", "en/17"), ("https", "www.", "org", "fr/204.html"), ("http", "blog.", "net", "es/31/"),
-        ("https", "m.", "com", "de/9?page=2"),
-    )
-    for name in (
-        "cheap-pills", "casino-win", "free-bets", "spam-farm", "adult-chat", "payday-loan", "lucky-slots",
-        "buy-followers", "replica-watch", "crypto-double", "poker-bonus", "click-bait", "ads-track", "popup-ads", "track-pixel",
-    )
+# labelled URLs the model is trained on: words of junk topics and of ordinary sites. Companions, joints,
+# domains and paths are dealt alike to both, so that only the words tell them apart.
+JUNK_WORDS = tuple(
+    """casino poker betting bets slots jackpot roulette gambling lottery bingo viagra pills pharmacy meds cialis steroids
+    loans payday lender porn xxx adult escorts webcams hookup nude replica followers spam spammer clickbait popup
+    adserver banners ads tracker tracking pixel malware warez cracked keygen bitcoin doubler giveaway""".split()
 )
-GOOD_URLS = tuple(
-    f"{scheme}://{sub}{name}.example.{top}/{path}"
-    for scheme, sub, top, path in (
-        ("http", "", "com", "en/17"), ("https", "www.", "org", "fr/204.html"), ("http", "blog.", "net", "es/31/"),
-        ("https", "m.", "com", "de/9?page=2"),
-    )
-    for name in (
-        "thering", "tionther", "research", "library", "gardening", "newsroom", "thenation", "history", "weather",
-        "thandre", "cooking", "university", "therly", "ontion", "science", "travelling", "theren", "museum",
-    )
+GOOD_WORDS = tuple(
+    """research library garden kitchen newspaper history weather cooking college science travel museum theatre music
+    school hospital bakery carpenter bicycle railway harbour village mountain river forest animals birds
+    physics chemistry geography language dictionary grammar literature poetry painting sculpture architecture engineering
+    software compiler database network hardware camera cinema concert festival football tennis swimming
+    sailing cycling hiking camping recipes vegetables orchard farming tractor insurance banking ministry parliament
+    embassy council court justice police firefighters ambulance nursing dentist veterinary children kindergarten
+    teachers students lectures journal magazine publisher bookstore archive gallery furniture plumbing electrician
+    heating windows bridges tunnels airport ferry station astronomy geology climate ocean island
+    weaving pottery knitting watchmaker philosophy""".split()
 )
+COMPANIONS = ("my", "best", "city", "online", "world", "the", "central", "home", "club", "network", "first")
+PLACES = (("", "com"), ("www.", "org"), ("m.", "net"), ("blog.", "info"), ("", "co.uk"), ("news.", "de"), ("shop.", "io"))
+PATHS = ("", "/", "/index.html", "/en/17", "/a/b.php?id=4", "/2024/05/12/", "/fr/204.html", "/about", "/p/31/", "/de/9?page=2", "/es/8", "/list", "/x")
+
+
+def _labelled(words: Sequence[str], each: int = 6) -> tuple[str, ...]:
+    """``each`` URLs per word: alone, joined and with hyphens, before and after a companion."""
+    out = []
+    for i, word in enumerate(words):
+        for k in range(each):
+            n = i * each + k
+            other = COMPANIONS[n % len(COMPANIONS)]
+            name = (word, f"{word}-{other}", f"{word}{other}", f"{other}-{word}", f"{other}{word}", f"{word}-{n % 90}")[k % 6]
+            sub, top = PLACES[n % len(PLACES)]
+            out.append(f"{('http', 'https')[n % 2]}://{sub}{name}.{top}{PATHS[n % len(PATHS)]}")
+    return tuple(out)
+
+
+JUNK_URLS = _labelled(JUNK_WORDS)
+GOOD_URLS = _labelled(GOOD_WORDS)
 
 
 def host_of(url: Column) -> Column:

@@ -6,7 +6,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from paceframe.llm import decontaminate, licenses, lines, secrets
+from paceframe.llm import decontaminate, licenses, lines, secrets, urls
 
 BODY = "doc_id long, text string, labels string, extra int"
 
@@ -123,3 +123,18 @@ def test_lines_equal_brute_force(spark):
         assert have == sorted(brute.lines(docs, least, 20))
     assert lines.dedup(df.limit(0)).count() == 0
     assert lines.clean(df.withColumn("n_chars", F.length("text")), min_sites=2).columns == [*df.columns, "n_chars"]
+
+
+def test_url_model_judges_hosts_outside_its_table(spark):
+    junk = ("mega-casino.biz pokerstarz.net cheappills.com quick-payday-loans.org xxxvideos.tv buyfollowers.co free-slots-777.eu "
+            "pharmacydeals.ru adulttube.org replicabags.shop tracker-pixel.net adsbanner.info").split()
+    good = ("st-mary-school.ac.uk local-weather-report.com old-town-museum.eu universitypress.org city-library.gov.uk gardencentre.co "
+            "railway-timetable.info homecooking.tv sciencedaily.org north-river-sailing.club childrenbooks.net physics-lectures.edu").split()
+    table = " ".join(urls.GOOD_URLS + urls.JUNK_URLS)
+    assert not any(h in table for h in junk + good) and "example" not in table
+    for part in (urls.GOOD_URLS, urls.JUNK_URLS):
+        assert 0.3 < sum("-" in u.split("/")[2] for u in part) / len(part) < 0.7
+    rows = [(f"https://{h}/page/1", v) for v, hosts in (("block", junk), ("allow", good)) for h in hosts]
+    got = urls.judge(spark.createDataFrame(rows, "url string, want string"), rules=()).collect()
+    for want in ("block", "allow"):
+        assert sum(r["verdict"] == want for r in got if r["want"] == want) >= 9
