@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontaminate, licenses, lines, mixing, quality, secrets, shingles, suffixes, urls, vectors
+from . import decontaminate, licenses, lines, mixing, quality, secrets, shingles, suffixes, tokens, urls, vectors
 from .oracles import ORACLES  # noqa: F401
 
+VOCABULARY = "byte_bpe_50k.json"
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 5) = 0"
 
 
@@ -89,6 +90,13 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_removed", sha256(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op11_token_output(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    rows = tokens.round_trip(read_table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,6 +106,6 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_quality_classifier, op3_ngram_jaccard_join, op4_secret_scan, op5_suffix_dedup,
-        op6_url_filter, op7_embedding_near_dedup, op8_source_mixing, op9_decontamination, op10_line_dedup, pipeline,
+        op6_url_filter, op7_embedding_near_dedup, op8_source_mixing, op9_decontamination, op10_line_dedup, op11_token_output, pipeline,
     )
 }
