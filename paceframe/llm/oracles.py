@@ -67,7 +67,49 @@ m AS (SELECT doc_id, line, i, first IS NOT NULL AS gone FROM k LEFT JOIN b ON tr
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id"""
 
+def _hashed_field(name: str) -> str:
+    return f"coalesce(octet_length(encode({name}::VARCHAR))::VARCHAR || ':' || {name}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_hashed_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII characters, bit by bit: a character enters at every eighth step."""
+    bits = f"list_transform(range(0, 8 * length({text})), lambda i: CASE WHEN i % 8 = 0 THEN ascii(substr({text}, (i // 8 + 1)::INT, 1)) ELSE 0 END::BIGINT)"
+    step = "xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), lambda c, b: {step}), 4294967295)"
+
+
+def _merkle(heights: int = 6, top_heights: int = 2) -> str:
+    """Trees of up to 8 ** heights leaves and 8 ** top_heights trees, level by level."""
+    steps = [f"""
+WITH d AS (SELECT doc_id, {_leaf('text')} AS leaf, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS p,
+  CASE WHEN {_crc32('doc_id::VARCHAR')} % 3 = 0 THEN {_leaf('low')} ELSE {_leaf('text')} END AS f
+  FROM (SELECT *, translate(text, '{UPPER}', '{LOWER}') AS low FROM documents)),
+n0 AS (SELECT t, p, leaf AS h FROM d), r0 AS (SELECT doc_id, leaf, t, p, f, '' AS proof FROM d)"""]
+    for k in range(heights + top_heights):
+        if k == heights:  # the subroots become the leaves of one tree
+            steps.append(f"n{k}t AS (SELECT 0 AS t, t AS p, h FROM n{k}), r{k}t AS (SELECT doc_id, leaf, 0 AS t, t AS p, f, proof FROM r{k})")
+        nodes, rows = (f"n{k}t", f"r{k}t") if k == heights else (f"n{k}", f"r{k}")
+        run = "PARTITION BY t, p // 8 ORDER BY p ROWS BETWEEN"
+        steps.append(f"""s{k} AS (SELECT t, p, h, count(*) OVER (PARTITION BY t) AS c,
+  coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+  coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM {nodes})""")
+        steps.append(f"""n{k + 1} AS (SELECT t, p // 8 AS p, CASE WHEN max(c) > 1 THEN sha256(string_agg(h, '' ORDER BY p)) ELSE max(h) END AS h
+  FROM s{k} GROUP BY t, p // 8)""")
+        steps.append(f"""r{k + 1} AS (SELECT r.doc_id, r.leaf, r.t, r.p // 8 AS p, CASE WHEN c > 1 THEN sha256(a || f || b) ELSE f END AS f,
+  CASE WHEN c > 1 THEN proof || a || b ELSE proof END AS proof FROM {rows} r JOIN s{k} s ON s.t = r.t AND s.p = r.p)""")
+    last = heights + top_heights
+    return ",\n".join(steps) + f"""
+SELECT r.doc_id, r.leaf, n{heights}.h AS subroot, n{last}.h AS root, sha256(r.proof) AS proof_sha256, r.f AS folded_root, r.f = n{last}.h AS verified
+FROM r{last} r JOIN d USING (doc_id) JOIN n{heights} ON n{heights}.t = d.t JOIN n{last} ON true"""
+
+
 ORACLES = {
+    "op12_merkle_manifest": _merkle(),
     "op3_ngram_jaccard_join": JACCARD, "op5_suffix_dedup": SUFFIX, "op7_embedding_near_dedup": VECTORS,
     "op9_decontamination": DECONTAMINATE, "op10_line_dedup": LINES,
 }
