@@ -14,9 +14,13 @@ A dataset is a folder:
 
 from __future__ import annotations
 
+import hashlib
 import json
 import posixpath
+import re
 import struct
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -64,6 +68,88 @@ def _write(system: fs.FileSystem, path: str, data: bytes) -> None:
 
 # ---- tokenising and ranks
 
+class WholeCoder:
+    """Ids of whole texts, packed to bytes."""
+
+    def __init__(self, tool, kind: np.dtype):
+        self.tool, self.kind = tool, kind
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tool.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
+
+
+class PieceCoder(WholeCoder):
+    """The same ids from remembered pieces, for byte-level vocabularies with the usual word pattern.
+
+    That pattern always cuts before a space between two characters that are no white
+    space, so the pieces between such places encode on their own. An unknown piece of
+    ASCII is cut further by the pattern; any other goes to the library as it is, whose
+    tables of letters need not be those of this process. A worker process keeps what it
+    knows from task to task, ``LIMIT`` pieces at most.
+    """
+
+    LIMIT = 1 << 20
+    PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\s0-9A-Za-z]+|\s+(?!\S)|\s+", re.ASCII)
+    UNEVEN = re.compile(r" \s|\s |^ | $")  # a space beside white space or at an end
+    # re.ASCII leaves these out of white space as the library does
+    NOT_PLAIN = re.compile(r"[\x1c-\x1f]")
+
+    def __init__(self, tool, kind: np.dtype, key: str):
+        super().__init__(tool, kind)
+        shelf = sys.modules.setdefault("_token_pieces", types.ModuleType("_token_pieces"))  # outlives the task
+        self.known: dict[str, bytes] = shelf.__dict__.setdefault(key, {})
+
+    @staticmethod
+    def pieces(text: str) -> list[str]:
+        if not PieceCoder.UNEVEN.search(text):
+            first, *rest = text.split(" ")
+            return [first, *[" " + word for word in rest]]
+        out: list[str] = []
+        cut = False  # whether the last piece ends in no white space
+        for word in text.split(" "):
+            plain = bool(word) and not word[0].isspace()
+            if not out:
+                out.append(word)
+            elif cut and plain:
+                out.append(" " + word)
+            else:
+                out[-1] += " " + word
+            cut = bool(word) and not word[-1].isspace()
+        return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Look up all pieces in one call of the library; ASCII ones by their parts."""
+        parts = {p: self.PATTERN.findall(p) if p.isascii() and not self.NOT_PLAIN.search(p) else [p] for p in pieces}
+        new = list(dict.fromkeys(x for own in parts.values() for x in own if x not in self.known))
+        self.known.update(zip(new, super().encode(new)))
+        for piece, own in parts.items():
+            if len(own) != 1:
+                self.known[piece] = b"".join(map(self.known.__getitem__, own))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for text in texts:
+            pieces = self.pieces(text)
+            if len(self.known) > self.LIMIT:
+                self.known.clear()
+            if new := [p for p in dict.fromkeys(pieces) if p not in self.known]:
+                self._learn(new)
+            out.append(b"".join(map(self.known.__getitem__, pieces)))
+        return out
+
+
+def cuts_at_spaces(description: str) -> bool:
+    """Whether a tokenizer file describes a byte-level vocabulary that ``PieceCoder`` may take apart."""
+    d = json.loads(description)
+    pre = d.get("pre_tokenizer") or {}
+    return (
+        d["model"]["type"] == "BPE" and not d["model"].get("dropout") and not any(d.get(k) for k in ("normalizer", "truncation", "padding"))
+        and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        and all(t["special"] for t in d.get("added_tokens", []))
+    )
+
+
 def tokenise(docs: DataFrame, vocabulary: str, doc: str, text: str, end: int | None, special_as_text: bool = True) -> DataFrame:
     """Rows (part, seq, doc_id, n, ids) in ascending document order, ids as they are in the vocabulary.
 
@@ -73,6 +159,8 @@ def tokenise(docs: DataFrame, vocabulary: str, doc: str, text: str, end: int | N
     """
     with open(vocabulary, encoding="utf-8") as f:
         description = f.read()
+    in_pieces = special_as_text and cuts_at_spaces(description)
+    key = hashlib.sha256(description.encode()).hexdigest()
     rows = docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     order = ["doc_id", "tie"]
@@ -87,14 +175,14 @@ def tokenise(docs: DataFrame, vocabulary: str, doc: str, text: str, end: int | N
         tool = Tokenizer.from_str(description)
         tool.encode_special_tokens = special_as_text
         kind = np.dtype("<u2" if tool.get_vocab_size() <= 1 << 16 else "<u4")
-        tail = np.array([] if end is None else [end], dtype=kind)
+        coder = PieceCoder(tool, kind, key) if in_pieces else WholeCoder(tool, kind)
+        tail = np.array([] if end is None else [end], dtype=kind).tobytes()
         seq = 0
         for b in slices(batches, BATCH_ROWS):
-            found = tool.encode_batch_fast(b.column("text").to_pylist(), add_special_tokens=False)
-            ids = [np.concatenate((np.array(e.ids, dtype=kind), tail)) for e in found]
+            ids = [x + tail for x in coder.encode(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([
                 b.column("part"), pa.array(np.arange(seq, seq + len(ids))), b.column("doc_id"),
-                pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary()),
+                pa.array([len(x) // kind.itemsize for x in ids], pa.int64()), pa.array(ids, pa.binary()),
             ], names=["part", "seq", "doc_id", "n", "ids"])
             seq += len(ids)
 

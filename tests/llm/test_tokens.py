@@ -14,6 +14,9 @@ from tokenizers import Tokenizer
 from paceframe.llm import queries, token_codec, tokens
 
 PATH = public_tokenizers.path(queries.VOCABULARY)
+TOOL = Tokenizer.from_file(PATH)
+TOOL.encode_special_tokens = True
+PIECES = tokens.PieceCoder(TOOL, np.dtype("<u2"), "test")
 SCHEMA = "doc_id long, text string, ids string, part int, n long"
 ROWS = [
     (7, "plain words, plain words", "x", 1, 1), (None, "no id", "x", 1, 1), (3, None, None, None, None), (5, "", "x", 1, 1),
@@ -56,6 +59,24 @@ def test_codec_refuses_cut_data():
         token_codec.decode(control, data[:-1], 2)
 
 
+TEXT = st.text(st.one_of(st.sampled_from(" \n\t\r'sdlrvtm0aZ.,!é漢\u00a0\u0085\u2003\x1c\x1f\x00"), st.characters(codec="utf-8")), max_size=60)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(TEXT, max_size=4))
+def test_pieces_encode_as_whole_texts(texts):
+    kind = np.dtype("<u2")
+    assert PIECES.encode(texts) == tokens.WholeCoder(TOOL, kind).encode(texts)
+    assert all("".join(tokens.PieceCoder.pieces(t)) == t for t in texts)
+
+
+def test_other_vocabularies_stay_whole():
+    with open(PATH, encoding="utf-8") as f:
+        assert tokens.cuts_at_spaces(f.read())
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        assert not tokens.cuts_at_spaces(f.read())
+
+
 @pytest.mark.parametrize("block", [1 << 20, 16])
 def test_edge_rows(spark, monkeypatch, block):
     monkeypatch.setattr(tokens, "BLOCK_IDS", block)
