@@ -108,7 +108,21 @@ SELECT r.doc_id, r.leaf, n{heights}.h AS subroot, n{last}.h AS root, sha256(r.pr
 FROM r{last} r JOIN d USING (doc_id) JOIN n{heights} ON n{heights}.t = d.t JOIN n{last} ON true"""
 
 
+NEGATIVES = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS s
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b)::INTEGER AS rank,
+  n.b AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s
+QUALIFY rank <= 5"""
+
+
 ORACLES = {
+    "op13_hard_negatives": NEGATIVES,
     "op12_merkle_manifest": _merkle(),
     "op3_ngram_jaccard_join": JACCARD, "op5_suffix_dedup": SUFFIX, "op7_embedding_near_dedup": VECTORS,
     "op9_decontamination": DECONTAMINATE, "op10_line_dedup": LINES,

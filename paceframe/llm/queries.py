@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontaminate, licenses, lines, merkle, mixing, quality, secrets, shingles, suffixes, tokens, urls, vectors
+from . import decontaminate, licenses, lines, merkle, mixing, negatives, quality, secrets, shingles, suffixes, tokens, urls, vectors
 from .oracles import ORACLES  # noqa: F401
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -101,6 +101,11 @@ def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.audit(read_table(spark, sf, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read_table(spark, sf, "embeddings").withColumn("label", label))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -111,6 +116,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_quality_classifier, op3_ngram_jaccard_join, op4_secret_scan, op5_suffix_dedup,
         op6_url_filter, op7_embedding_near_dedup, op8_source_mixing, op9_decontamination, op10_line_dedup, op11_token_output,
-        op12_merkle_manifest, pipeline,
+        op12_merkle_manifest, op13_hard_negatives, pipeline,
     )
 }
