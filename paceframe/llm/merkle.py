@@ -196,8 +196,8 @@ def build(rows: DataFrame, key: str, group: str, leaf: str, changed: str, rank_r
         F.col(key).alias("key"), F.col(group).alias("grp"), F.col(leaf).alias("leaf"), F.col(changed).alias("changed"),
         F.monotonically_increasing_id().alias("tie"),
     ))
-    # the written tie cuts repeated rows into ranges like any others
-    ranked = materialise(sorted_rank(narrow, ["grp", "key", "leaf", "tie"], "rank", rank_rows))
+    # the written tie cuts repeated rows into ranges like any others; the ranges are written, so the rank can be read twice
+    ranked = sorted_rank(narrow, ["grp", "key", "leaf", "tie"], "rank", rank_rows)
     sizes = ranked.groupBy("grp").agg(F.count(F.lit(1)).alias("total"), F.min("rank").alias("first"))
     trees = materialise(sorted_rank(sizes, ["grp"], "tree", rank_rows))
     placed = ranked.join(trees, ranked["grp"].eqNullSafe(trees["grp"]))
