@@ -38,7 +38,7 @@ LEAST_CURVATURE = 1e-9
 
 @dataclass(frozen=True)
 class Spec:
-    """One ensemble. ``held_out`` is the fold it never learns from; ``weight`` names a column of row weights."""
+    """One ensemble. ``held_out`` is the fold it never learns from; ``weight`` names a column of row weights, 0 leaves a row out."""
 
     growth: str = "level"
     rounds: int = 100
@@ -347,6 +347,8 @@ def _add_up(asks: Sequence[_Ask], sizes: Sequence[int], width: int, weights: Seq
             for a in asks:
                 s = a.spec
                 use = np.ones(len(y), dtype=bool) if s.held_out is None else fold != s.held_out
+                if s.weight:
+                    use &= w[s.weight] > 0
                 if s.subsample < 1.0:
                     use &= drawn(s.seed, a.turn, digest, s.subsample)
                 slot = a.slot[leaf_of(a.tree, bins)]

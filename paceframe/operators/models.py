@@ -11,29 +11,30 @@ import itertools
 import logging
 import math
 import time
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from py4j.protocol import Py4JError
 from pyspark import StorageLevel
 from pyspark.errors import PySparkException, PySparkValueError
 from pyspark.ml import Model
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
-)
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import boosting, fold_statistics
+from .boosting import Boosted, Spec
 from .metrics import binary_metrics, overfit_table, rank_models, roc_auc
 from .neighbors import knn_join
-from .split import hash_folds, sample_share, stratified_folds
+from ..session import materialise
+from .split import hash_folds, nested_subsets, sample_share, stratified_folds
 
 log = logging.getLogger(__name__)
 
@@ -45,9 +46,9 @@ DEFAULTS: dict[str, dict] = {
     "linear": {}, "ridge": {"alpha": 1.0}, "lasso": {"alpha": 1.0}, "elastic_net": {"alpha": 1.0},
     "decision_tree": {"depth": 10}, "random_forest": {"rounds": 100, "depth": None},
     "gradient_boosting": {"rounds": 100, "step": 0.1, "depth": 3},
-    "boosting_depthwise": {"rounds": 100, "step": 0.3, "depth": 6},
-    "boosting_leafwise": {"rounds": 100, "step": 0.1, "leaves": 31},
-    "boosting_oblivious": {"rounds": 100, "step": 0.03, "depth": 6},
+    "boosting_depthwise": {"rounds": 100, "step": 0.3, "depth": 6, "l2": 1.0},
+    "boosting_leafwise": {"rounds": 100, "step": 0.1, "leaves": 31, "min_leaf": 20},
+    "boosting_oblivious": {"rounds": 100, "step": 0.03, "depth": 6, "l2": 3.0},
     "logistic_regression": {"c": 1.0, "max_iter": 1000},
 }
 REGRESSORS = (
@@ -60,8 +61,14 @@ CLASSIFIERS = (
 )
 
 
+#: How the trees of the boosting presets grow.
+GROWTH = {
+    "gradient_boosting": "level", "boosting_depthwise": "level", "boosting_leafwise": "leaf", "boosting_oblivious": "oblivious",
+}
+#: Linear models whose whole grid follows from the statistics of the folds.
+LINEAR = ("linear", "ridge", "lasso", "elastic_net")
 #: Hyper-parameters Spark's trees have no counterpart for; the tuning table names those it left out.
-IGNORED = ("min_split", "l2")
+IGNORED = ("min_split",)
 #: Hyper-parameters that choose the weight column of a fit.
 WEIGHING = ("balanced", "positive")
 #: Presets that weigh the positive class by a tuned factor.
@@ -73,11 +80,10 @@ def spark_params(name: str, params: Mapping, rows: int, label_std: float = 1.0)
 
     Ridge and logistic penalties are per training row in Spark, and its linear
     regression divides the squared penalty (not the absolute one) by the standard
-    deviation of the label. Spark trees know no minimum split size and boosting
-    no leaf penalty, so those are left out.
+    deviation of the label. Spark trees know no minimum split size, so that is
+    left out.
     """
     out: dict = {}
-    boosting = name.startswith(("gradient", "boosting"))
     for k, v in params.items():
         if k == "alpha":
             absolute = {"ridge": 0.0, "lasso": v, "elastic_net": 0.5 * v}[name]
@@ -89,17 +95,11 @@ def spark_params(name: str, params: Mapping, rows: int, label_std: float = 1.0)
         elif k == "max_iter":
             out["maxIter"] = v
         elif k == "rounds":
-            out["maxIter" if boosting else "numTrees"] = v
-        elif k == "step":
-            out["stepSize"] = v
+            out["numTrees"] = v
         elif k == "depth":
             out["maxDepth"] = DEEPEST if v is None else v
-        elif k == "leaves":
-            out.setdefault("maxDepth", math.ceil(math.log2(v)))
         elif k == "min_leaf":
             out["minInstancesPerNode"] = v
-        elif k == "subsample":
-            out["subsamplingRate"] = v
         elif k == "features":
             out["featureSubsetStrategy"] = v
         elif k not in IGNORED:
@@ -111,8 +111,8 @@ def make_estimator(
     name: str, task: str, rows: int, seed: int = 42, label: str = "label", weight: str | None = None,
     label_std: float = 1.0, **params,
 ) -> Estimator | None:
-    """Estimator by name with its defaults; an unknown name gives None."""
-    if name not in (REGRESSORS if task == "regression" else CLASSIFIERS):
+    """Spark estimator by name with its defaults; an unknown name gives None, and so does a boosting preset (``boosting_spec``)."""
+    if name in GROWTH or name not in (REGRESSORS if task == "regression" else CLASSIFIERS):
         return None
     chosen = {**DEFAULTS[name], **params}
     weighted = weight is not None and chosen.pop("balanced", True)
@@ -128,8 +128,39 @@ def make_estimator(
         ("random_forest", "regression"): RandomForestRegressor,
         ("random_forest", "classification"): RandomForestClassifier,
     }
-    kind = kinds.get((name, task)) or (GBTRegressor if task == "regression" else GBTClassifier)
-    return kind(seed=seed, **common, **opts)
+    return kinds[name, task](seed=seed, **common, **opts)
+
+
+def boosting_spec(name: str, task: str, seed: int = 42, weight: str | None = None, held_out: int | None = None, **params) -> Spec:
+    """Ensemble of a boosting preset with its defaults; unknown hyper-parameters raise."""
+    chosen = {k: v for k, v in {**DEFAULTS[name], **params}.items() if k not in WEIGHING}
+    loss = "squared" if task == "regression" else "logistic"
+    try:
+        return Spec(growth=GROWTH[name], loss=loss, seed=seed, weight=weight, held_out=held_out, **chosen)
+    except TypeError:
+        raise ValueError(f"unknown hyper-parameter among {sorted(chosen)}") from None
+
+
+class _Together:
+    """Boosting presets of one table, fitted in common passes when the first of them is asked for."""
+
+    def __init__(self, train: DataFrame, names: Sequence[str], features: Sequence[str], label: str, task: str, seed: int,
+                 weight: str | None, params: Mapping[str, Mapping]):
+        known = REGRESSORS if task == "regression" else CLASSIFIERS
+        self.names = [n for n in names if n in GROWTH and n in known]
+        self.args = train, features, label, task, seed, weight, params
+        self.models: dict[str, Boosted] | None = None
+
+    def __getitem__(self, name: str) -> Boosted:
+        if self.models is None:
+            train, features, label, task, seed, weight, params = self.args
+            specs = [
+                boosting_spec(n, task, seed, weight if params.get(n, {}).get("balanced", True) else None, **params.get(n, {}))
+                for n in self.names
+            ]
+            fitted, _ = boosting.fit_many(train, "features", label, specs, features)
+            self.models = dict(zip(self.names, fitted))
+        return self.models[name]
 
 
 def expand_grid(grid: Mapping[str, Sequence]) -> list[dict]:
@@ -153,7 +184,7 @@ def _size_and_spread(df: DataFrame, label: str) -> tuple[int, float]:
 class Fitted:
     """Models by name, their metric table (failed ones with their status and no metrics), and the failures."""
 
-    models: dict[str, Model] = field(default_factory=dict)
+    models: dict[str, Model | Boosted] = field(default_factory=dict)
     table: DataFrame | None = None
     failed: dict[str, str] = field(default_factory=dict)
 
@@ -163,15 +194,18 @@ def _metric_frame(spark: SparkSession, rows: list[dict], names: Sequence[str]) -
     return spark.createDataFrame([(r["model"], r.get("status", "ok"), *(r.get(n) for n in names)) for r in rows], schema)
 
 
-def _loop(train: DataFrame, names: Sequence[str], build: Callable, measure: Callable) -> tuple[dict, list, dict]:
+def _loop(train: DataFrame, names: Sequence[str], build: Callable, measure: Callable, together: _Together) -> tuple[dict, list, dict]:
     models, rows, failed = {}, [], {}
     for name in names:
         start = time.perf_counter()
         try:
-            estimator = build(name)
-            if estimator is None:
-                raise PySparkValueError(errorClass="VALUE_NOT_ALLOWED", messageParameters={"arg_name": "model", "allowed_values": str(CLASSIFIERS + REGRESSORS)})
-            model = estimator.fit(train)
+            if name in together.names:
+                model = together[name]
+            else:
+                estimator = build(name)
+                if estimator is None:
+                    raise PySparkValueError(errorClass="VALUE_NOT_ALLOWED", messageParameters={"arg_name": "model", "allowed_values": str(CLASSIFIERS + REGRESSORS)})
+                model = estimator.fit(train)
             rows.append({"model": name, **measure(model), "seconds": time.perf_counter() - start})
             models[name] = model
         except (PySparkException, Py4JError) as e:  # a model that cannot be fitted must not stop the others
@@ -194,14 +228,15 @@ def fit_regressors(
         build = lambda name: make_estimator(
             name, "regression", n, seed, label, label_std=spread, **(params or {}).get(name, {}))
         measure = lambda m: overfit_table(m.transform(data), label, "prediction", split).first().asDict()
-        models, rows, failed = _loop(train, names, build, measure)
+        together = _Together(train, names, features, label, "regression", seed, None, params or {})
+        models, rows, failed = _loop(train, names, build, measure, together)
     finally:
         data.unpersist()
     cols = ["r2_train", "r2_test", "mae_test", "rmse_test", "overfit_gap", "seconds"]
     return Fitted(models, rank_models(_metric_frame(df.sparkSession, rows, cols), "r2_test"), failed)
 
 
-def classifier_metrics(model: Model, data: DataFrame, label: str) -> dict:
+def classifier_metrics(model: Model | Boosted, data: DataFrame, label: str) -> dict:
     scored = model.transform(data).select(
         label, F.col("prediction"), vector_to_array("probability").alias("p")
     ).select(label, "prediction", F.get("p", F.lit(1)).alias("score"))
@@ -221,7 +256,8 @@ def fit_classifiers(
         train, test = data.where(F.col(split) == "train"), data.where(F.col(split) == "test")
         n = train.count()
         build = lambda name: make_estimator(name, "classification", n, seed, label, weight, **(params or {}).get(name, {}))
-        models, rows, failed = _loop(train, names, build, lambda m: classifier_metrics(m, test, label))
+        together = _Together(train, names, features, label, "classification", seed, weight, params or {})
+        models, rows, failed = _loop(train, names, build, lambda m: classifier_metrics(m, test, label), together)
     finally:
         data.unpersist()
     cols = ["precision", "recall", "f1", "accuracy", "roc_auc", "seconds"]
@@ -243,20 +279,126 @@ def _weight_column(combo: Mapping, weight: str | None) -> str | None:
     return weight if combo.get("balanced", True) else "__w_one"
 
 
+TUNED = "combination int, model string, params map<string,string>, score double"
+
+
+@dataclass
+class Tuned:
+    """The best model of a grid, refitted on all rows, and one row per combination."""
+
+    bestModel: Model | Boosted
+    table: DataFrame
+    params: dict
+
+
+def _table(spark: SparkSession, name: str, combos: Sequence[Mapping], scores: Sequence[float | None]) -> DataFrame:
+    rows = [
+        (i, name, {k: str(v) + (" (no counterpart)" if k in IGNORED and name not in GROWTH else "") for k, v in combo.items()}, score)
+        for i, (combo, score) in enumerate(zip(combos, scores))
+    ]
+    return spark.createDataFrame(rows, TUNED)
+
+
+def _folded(df: DataFrame, key: str, label: str, task: str, folds: int, seed: int) -> DataFrame:
+    return hash_folds(df, key, folds, seed) if task == "regression" else stratified_folds(df, key, label, folds, seed)
+
+
+def _best(scores: Sequence[float | None]) -> int:
+    """The first combination with the highest score."""
+    return max(range(len(scores)), key=lambda i: (-math.inf if scores[i] is None else scores[i], -i))
+
+
+def _with_weights(data: DataFrame, label: str, combos: Iterable[Mapping]) -> DataFrame:
+    """One column per weighing that the combinations ask for, next to the caller's."""
+    factors = sorted({c["positive"] for c in combos if c.get("positive")})
+    return data.withColumns({
+        "__w_one": F.lit(1.0),
+        **{_weight_column({"positive": f}, None): F.when(F.col(label) == 1, F.lit(float(f))).otherwise(1.0) for f in factors},
+    })
+
+
+def tune_boosting(
+    df: DataFrame, features: Sequence[str], label: str, grids: Mapping[str, Mapping[str, Sequence]], key: str,
+    task: str = "regression", folds: int = 5, seed: int = 42, weight: str | None = None,
+) -> dict[str, Tuned]:
+    """Grid search of boosting presets: all combinations of all presets and folds grow in common passes.
+
+    Combinations that differ in ``rounds`` alone are prefixes of the longest. The best
+    combination of each preset is then refitted on all rows, again together.
+    """
+    data = _folded(df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double")), key, label, task, folds, seed)
+    keep = [key, label, "fold"] + ([weight] if weight else [])
+    combos = {name: expand_grid(grid) for name, grid in grids.items()}
+    ready = materialise(_with_weights(assemble(data, features, keep), label, [c for own in combos.values() for c in own]))
+
+    def spec(name: str, combo: Mapping, fold: int | None) -> Spec:
+        return boosting_spec(name, task, seed, _weight_column(combo, weight), fold, **combo)
+
+    longest: dict[Spec, int] = {}
+    for name, own in combos.items():
+        for s in (spec(name, c, k) for c in own for k in range(folds)):
+            root = replace(s, rounds=0)
+            longest[root] = max(longest.get(root, 0), s.rounds)
+    roots = list(longest)
+    fitted, plain = boosting.fit_many(ready, "features", label, [replace(r, rounds=longest[r]) for r in roots], features, key, "fold")
+    wanted: dict[Spec, list[int]] = {r: [] for r in roots}
+    for name, own in combos.items():
+        for s in (spec(name, c, k) for c in own for k in range(folds)):
+            wanted[replace(s, rounds=0)].append(s.rounds)
+    found = dict(zip(roots, boosting.prefix_scores(plain, fitted, [wanted[r] for r in roots])))
+
+    def score(name: str, combo: Mapping) -> float | None:
+        each = [spec(name, combo, k) for k in range(folds)]
+        # a fold in which the measure is undefined says nothing about a regression, and 0 about classes
+        got = [found[replace(s, rounds=0)].get(s.rounds) for s in each]
+        got = [g for g in got if g is not None] if task == "regression" else [g or 0.0 for g in got]
+        return sum(got) / len(got) if got else None
+
+    scores = {name: [score(name, c) for c in own] for name, own in combos.items()}
+    best = {name: combos[name][_best(scores[name])] for name in combos}
+    finals, _ = boosting.fit_many(ready, "features", label, [spec(n, c, None) for n, c in best.items()], features, key, "fold")
+    return {
+        name: Tuned(model, _table(df.sparkSession, name, combos[name], scores[name]), best[name]) for (name, model) in zip(best, finals)
+    }
+
+
+def tune_linear(
+    df: DataFrame, features: Sequence[str], label: str, name: str, grid: Mapping[str, Sequence], key: str, folds: int = 5, seed: int = 42,
+) -> Tuned:
+    """Grid search of a linear model from one pass: every penalty and held-out fold is a small solve."""
+    data = hash_folds(df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double")), key, folds, seed)
+    data = materialise(assemble(data, features, [label, "fold"]))
+    parts = fold_statistics.moments(data, "features", label, "fold")
+    combos = expand_grid(grid)
+    alphas = [{**DEFAULTS[name], **c}.get("alpha", 0.0) for c in combos]
+    found = fold_statistics.grid_scores(parts, name, sorted(set(alphas)), folds)
+    scores = [found[a] for a in alphas]
+    best = combos[_best(scores)]
+    n, spread = _size_and_spread(data, label)
+    model = make_estimator(name, "regression", n, seed, label, label_std=spread, **best).fit(data)
+    return Tuned(model, _table(df.sparkSession, name, combos, scores), best)
+
+
 def tune(
     df: DataFrame, features: Sequence[str], label: str, name: str, grid: Mapping[str, Sequence], key: str,
-    task: str = "regression", folds: int = 5, seed: int = 42, weight: str | None = None, parallelism: int = 2,
-) -> tuple[CrossValidatorModel, DataFrame]:
-    """Grid search with fixed folds; returns the model and one row per combination.
-
-    Folds are hash folds for regression and stratified ones for classification.
-    Combinations that are the same for Spark are fitted once.
+    task: str = "regression", folds: int = 5, seed: int = 42, weight: str | None = None, parallelism: int = 4,
+) -> tuple[Tuned | CrossValidatorModel, DataFrame]:
+    """Grid search with fixed folds; returns what holds the ``bestModel`` and one row per combination.
+
+    Folds are hash folds for regression and stratified ones for classification. Linear
+    regressions and boosting presets have ways of their own (``tune_linear``,
+    ``tune_boosting``); other models are cross-validated fit by fit, and combinations
+    that are the same for Spark are fitted once.
     """
-    folded = (
-        hash_folds(df, key, folds, seed) if task == "regression" else stratified_folds(df, key, label, folds, seed)
-    )
+    if name in GROWTH:
+        found = tune_boosting(df, features, label, {name: grid}, key, task, folds, seed, weight)[name]
+        return found, found.table
+    if name in LINEAR and task == "regression":
+        found = tune_linear(df, features, label, name, grid, key, folds, seed)
+        return found, found.table
     keep = [label, "fold"] + ([weight] if weight else [])
-    data = assemble(folded.withColumn(label, F.col(label).cast("double")), features, keep).persist(StorageLevel.MEMORY_AND_DISK)
+    data = assemble(_folded(df, key, label, task, folds, seed).withColumn(label, F.col(label).cast("double")), features, keep)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n, spread = _size_and_spread(data, label)
         base = make_estimator(name, task, n, seed, label, weight, spread)
@@ -266,12 +408,7 @@ def tune(
             column = _weight_column(combo, weight)
             known = {**spark_params(name, plain, n, spread), **({"weightCol": column} if column else {})}
             combos.setdefault(tuple(sorted(known.items())), combo)
-        # one column per weighing, next to the caller's
-        factors = sorted({c["positive"] for c in combos.values() if c.get("positive")})
-        ready = data.withColumns({
-            "__w_one": F.lit(1.0),
-            **{_weight_column({"positive": f}, weight): F.when(F.col(label) == 1, F.lit(float(f))).otherwise(1.0) for f in factors},
-        })
+        ready = _with_weights(data, label, combos.values())
         maps = [{base.getParam(p): v for p, v in c} for c in combos]
         score = (
             RegressionEvaluator(labelCol=label, metricName="r2") if task == "regression"
@@ -283,36 +420,32 @@ def tune(
         ).fit(ready)
     finally:
         data.unpersist()
-    rows = [
-        (i, name, {k: str(v) + (" (no counterpart)" if k in IGNORED else "") for k, v in combo.items()}, float(s))
-        for i, (combo, s) in enumerate(zip(combos.values(), model.avgMetrics))
-    ]
-    return model, df.sparkSession.createDataFrame(
-        rows, "combination int, model string, params map<string,string>, score double"
-    )
+    return model, _table(df.sparkSession, name, list(combos.values()), [float(s) for s in model.avgMetrics])
 
 
 def tune_many(
     df: DataFrame, features: Sequence[str], label: str, names: Sequence[str], grids: Mapping[str, Mapping], key: str,
     task: str = "regression", folds: int = 5, seed: int = 42, weight: str | None = None,
-) -> tuple[dict[str, Model], DataFrame | None]:
+) -> tuple[dict[str, Model | Boosted], DataFrame | None]:
     """Grid search for several models: best model per name, and all combinations.
 
     Without a grid a regressor is skipped, and a classifier is validated with
-    its defaults.
+    its defaults. Boosting presets are searched together.
     """
+    wanted = {n: grids.get(n, {}) for n in names if n in grids or task != "regression"}
+    boosted = {n: g for n, g in wanted.items() if n in GROWTH}
+    found = tune_boosting(df, features, label, boosted, key, task, folds, seed, weight) if boosted else {}
     best, rows = {}, None
-    for name in names:
-        if name not in grids and task == "regression":
-            continue
-        model, table = tune(df, features, label, name, grids.get(name, {}), key, task, folds, seed, weight)
-        best[name] = model.bestModel
+    for name, grid in wanted.items():
+        own = found.get(name)
+        own, table = (own, own.table) if own else tune(df, features, label, name, grid, key, task, folds, seed, weight)
+        best[name] = own.bestModel
         rows = table if rows is None else rows.unionByName(table)
     return best, rows
 
 
 def evaluate_models(
-    fitted: Mapping[str, Model], df: DataFrame, features: Sequence[str], label: str, split: str = "split",
+    fitted: Mapping[str, Model | Boosted], df: DataFrame, features: Sequence[str], label: str, split: str = "split",
     task: str = "regression",
 ) -> DataFrame:
     """Ranked metric table of fitted models over the split parts of a table."""
@@ -343,26 +476,41 @@ def feature_importance(model: Model, features: Sequence[str], k: int = 20) -> Da
 
 
 def learning_curve(
-    df: DataFrame, features: Sequence[str], label: str, key: str, name: str, steps: int = 10, folds: int = 5,
-    seed: int = 42,
+    df: DataFrame, features: Sequence[str], label: str, key: str, names: Sequence[str] = LINEAR, steps: int = 10, folds: int = 5,
+    seed: int = 42, params: Mapping[str, Mapping] | None = None,
 ) -> DataFrame:
-    """R2 on the held-out fold for growing shares of the other folds."""
-    from .metrics import regression_metrics
-    from .split import nested_subsets
+    """R2 on the held-out fold for growing shares of the other folds.
 
-    data = nested_subsets(df.withColumn(label, F.col(label).cast("double")), key, steps, folds, seed)
-    data = assemble(data, features, [label, "fold", "step"]).persist(StorageLevel.MEMORY_AND_DISK)
+    Linear models take one pass for all folds, steps and models (sums per fold and step);
+    boosting presets grow for all folds and steps in common passes.
+    """
+    data = nested_subsets(df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double")), key, steps, folds, seed)
+    data = materialise(assemble(data, features, [key, label, "fold", "step"]))
+    parts = fold_statistics.moments(data, "features", label, "fold", "step")
     rows = []
-    try:
-        for fold, step in itertools.product(range(folds), range(1, steps + 1)):
-            train = data.where((F.col("fold") != fold) & (F.col("step") <= step))
-            n, spread = _size_and_spread(train, label)
-            model = make_estimator(name, "regression", n, seed, label, label_std=spread).fit(train)
-            test = model.transform(data.where(F.col("fold") == fold))
-            rows.append((fold, step, n, regression_metrics(test, label, "prediction").first()["r2"]))
-    finally:
-        data.unpersist()
-    return df.sparkSession.createDataFrame(rows, "held_out int, curve_step int, train_rows long, r2 double")
+    for name in names:
+        if name not in LINEAR:
+            continue
+        alpha = {**DEFAULTS[name], **(params or {}).get(name, {})}.get("alpha", 0.0)
+        rows += [(name, *r) for r in fold_statistics.curve(parts, name, alpha, folds, steps)]
+    boosted = [n for n in names if n in GROWTH]
+    if boosted:
+        sizes = {(r[1], r[2]): r[3] for r in ((LINEAR[0], *c) for c in fold_statistics.curve(parts, LINEAR[0], 0.0, folds, steps))}
+        rows += _boosted_curve(data, features, label, key, boosted, steps, folds, seed, params or {}, sizes)
+    return df.sparkSession.createDataFrame(rows, "model string, held_out int, curve_step int, train_rows long, r2 double")
+
+
+def _boosted_curve(
+    data: DataFrame, features: Sequence[str], label: str, key: str, names: Sequence[str], steps: int, folds: int, seed: int,
+    params: Mapping[str, Mapping], sizes: Mapping[tuple[int, int], int],
+) -> list[tuple]:
+    """Later steps weigh nothing in a step's ensemble, so all of them learn from the same written rows."""
+    data = data.withColumns({f"__s_{s}": (F.col("step") <= s).cast("double") for s in range(1, steps + 1)})
+    asked = [(n, k, s) for n in names for k in range(folds) for s in range(1, steps + 1)]
+    specs = [boosting_spec(n, "regression", seed, f"__s_{s}", k, **params.get(n, {})) for n, k, s in asked]
+    fitted, plain = boosting.fit_many(data, "features", label, specs, features, key, "fold")
+    scores = boosting.prefix_scores(plain, fitted, [[s.rounds] for s in specs])
+    return [(n, k, s, sizes[k, s], got.get(spec.rounds)) for (n, k, s), spec, got in zip(asked, specs, scores)]
 
 
 def sample_then_full(
@@ -377,13 +525,18 @@ def sample_then_full(
     return winner, fit_regressors(df, features, label, split, [winner], seed, params)
 
 
-def save_model(model: Model, path: str, version: str) -> str:
+def save_model(model: Model | Boosted, path: str, version: str) -> str:
     target = f"{path}/v={version}"
-    model.write().overwrite().save(target)
+    if isinstance(model, Boosted):
+        model.save(SparkSession.active(), target)
+    else:
+        model.write().overwrite().save(target)
     return target
 
 
-def load_model(spark: SparkSession, path: str) -> Model:
+def load_model(spark: SparkSession, path: str, boosted: bool = False) -> Model | Boosted:
+    if boosted:
+        return Boosted.load(spark, path)
     return DefaultParamsReader.loadParamsInstance(path, spark)
 
 

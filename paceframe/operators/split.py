@@ -32,7 +32,8 @@ def split_temporal(df: DataFrame, date: str, cut: str, name: str = "split") -> D
 
 
 def hash_folds(df: DataFrame, key: str, folds: int = 5, seed: int | str = 42, name: str = "fold") -> DataFrame:
-    return df.withColumn(name, F.floor(unit_hash(key, seed) * folds).cast("int"))
+    """Folds by a digest of their own: with the one of ``split_hash`` a test part would be whole folds."""
+    return df.withColumn(name, F.floor(unit_hash(key, f"{seed}-fold") * folds).cast("int"))
 
 
 def stratified_folds(

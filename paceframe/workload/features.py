@@ -450,7 +450,7 @@ def fold_ids_stratified(spark, sf):
 
 
 @query("learning_curve_sizes", f"""
-WITH r AS (SELECT cast(floor({unit_sql('event_id')} * 5) AS INTEGER) AS fold,
+WITH r AS (SELECT cast(floor({unit_sql('event_id', '42-fold')} * 5) AS INTEGER) AS fold,
   cast(floor({unit_sql('event_id', '42-curve')} * 10) AS INTEGER) + 1 AS step FROM events)
 SELECT cast(h.i AS INTEGER) AS held_out, cast(k.i AS INTEGER) AS curve_step,
   count(*) FILTER (WHERE fold <> h.i AND step <= k.i) AS train_rows

@@ -94,6 +94,7 @@ def _plain_rows(spark, sf):
 @query("tune_regressor")
 def tune_regressor(spark, sf):
     df, names = _plain_rows(spark, sf)
+    df = df.where(F.col("split") == "train")
     grids = defaults.REGRESSION_GRIDS
     return models.tune_many(df, names, "y", list(grids), grids, "result_id")[1]
 
@@ -102,7 +103,8 @@ def tune_regressor(spark, sf):
 def tune_classifier(spark, sf):
     df, names = _plain_rows(spark, sf)
     df = classification.weighted(materialise(df.withColumn("target", (F.col("y") <= 3).cast("double")).drop("y")))
-    ratios = [r for r in balance.class_weight_ratio(df.where(F.col("split") == "train"), "target").first() if r]
+    df = df.where(F.col("split") == "train")
+    ratios = [r for r in balance.class_weight_ratio(df, "target").first() if r]
     grids = {n: {**g, "positive": ratios} if n in models.POSITIVE_WEIGHTED else g for n, g in defaults.CLASSIFICATION_GRIDS.items()}
     return models.tune_many(df, names, "target", list(grids), grids, "result_id", "classification", weight="weight")[1]
 
@@ -123,7 +125,7 @@ def sample_then_full(spark, sf):
 @query("learning_curve")
 def learning_curve(spark, sf):
     df, names = _plain_rows(spark, sf)
-    return models.learning_curve(df, names, "y", "result_id", "ridge")
+    return models.learning_curve(df, names, "y", "result_id")
 
 
 @query("lap_prep", LAP_PREP)
