@@ -5,7 +5,9 @@ are being grown, the gradients, curvatures and rows per (leaf, feature, bin); ta
 these sums, whose size depends on leaves and bins and not on the rows, the sums meet by
 (ensemble, block of features), and only the best split of each leaf reaches the driver. So
 a grid over all folds costs the passes of its largest ensemble, not one fit per
-combination, and shorter ensembles are prefixes of longer ones.
+combination, and shorter ensembles are prefixes of longer ones. A table within ``LOCAL_ROWS``
+and ``LOCAL_BYTES`` needs no passes: tasks get it whole and deal the ensembles among them,
+with the same sums, splits and trees.
 
 * ``level``: every leaf splits until ``depth``.
 * ``leaf``: best-first up to ``leaves``. A node's place in that order is bounded by the
@@ -32,6 +34,8 @@ from ..session import materialise
 MAX_BINS = 64
 BLOCK = 32  # features whose sums meet in one place
 TASK_ROWS = 8192  # rows of a task at least
+LOCAL_ROWS = 1 << 16  # a table of at most so many rows
+LOCAL_BYTES = 16 << 20  # and binned bytes travels whole to tasks that each grow some of the ensembles
 PENDING = 3  # trees of an ensemble that a pass adds to the written margins at most
 LEAST_CURVATURE = 1e-9
 
@@ -346,22 +350,10 @@ def _add_up(asks: Sequence[_Ask], sizes: Sequence[int], width: int, weights: Seq
             cell = bins + starts[:-1]
             for a in asks:
                 s = a.spec
-                use = np.ones(len(y), dtype=bool) if s.held_out is None else fold != s.held_out
-                if s.weight:
-                    use &= w[s.weight] > 0
-                if s.subsample < 1.0:
-                    use &= drawn(s.seed, a.turn, digest, s.subsample)
-                slot = a.slot[leaf_of(a.tree, bins)]
-                at = np.flatnonzero(use & (slot >= 0))
-                if not len(at):
-                    continue
-                margin = margins[at, a.place] + margins_of(a.pending, bins[at])
-                g, h = gradients(s.loss, y[at], margin, w[s.weight][at] if s.weight else None)
-                where = (cell[at] + slot[at, None] * total).ravel()
-                size = a.slots * total
-                own = np.stack([
-                    np.bincount(where, np.repeat(g, len(sizes)), size), np.bincount(where, np.repeat(h, len(sizes)), size), np.bincount(where, minlength=size),
-                ], axis=-1).reshape(a.slots, total, 3)
+                weight = w[s.weight] if s.weight else None
+                margin = margins[:, a.place] + margins_of(a.pending, bins)
+                g, h = gradients(s.loss, y, margin, weight)
+                own = _sums_of(s, a.tree, a.slot, a.slots, bins, cell, total, _used(s, a.turn, fold, digest, weight), g, h)
                 held[a.place] = held[a.place] + own if a.place in held else own
         task = TaskContext.get().partitionId()
         for place, sums in held.items():
@@ -375,6 +367,29 @@ def _add_up(asks: Sequence[_Ask], sizes: Sequence[int], width: int, weights: Seq
     return scan
 
 
+def _sums_of(spec: Spec, tree: tuple[np.ndarray, ...], slot: np.ndarray, slots: int, bins: np.ndarray, cell: np.ndarray, total: int, use: np.ndarray,
+             g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Sums (slots x bins x 3) of the used rows in the leaves that have a slot."""
+    own = slot[leaf_of(tree, bins)]
+    at = np.flatnonzero(use & (own >= 0))
+    p = bins.shape[1]
+    where = (cell[at] + own[at, None] * total).ravel()
+    size = slots * total
+    return np.stack([
+        np.bincount(where, np.repeat(g[at], p), size), np.bincount(where, np.repeat(h[at], p), size), np.bincount(where, minlength=size),
+    ], axis=-1).reshape(slots, total, 3)
+
+
+def _used(spec: Spec, turn: int, fold: np.ndarray, digest: np.ndarray, weight: np.ndarray | None) -> np.ndarray:
+    """Rows that one round of an ensemble learns from."""
+    use = np.ones(len(fold), dtype=bool) if spec.held_out is None else fold != spec.held_out
+    if weight is not None:
+        use &= weight > 0
+    if spec.subsample < 1.0:
+        use &= drawn(spec.seed, turn, digest, spec.subsample)
+    return use
+
+
 def _choose(specs: Mapping[int, tuple[Spec, int]], sizes: Sequence[int]):
     """Task function: add up the tasks' sums of an (ensemble, block) in their order and return its best splits."""
 
@@ -510,13 +525,15 @@ def fit_many(
     size = sum(r["n_one"] for r in sums.values())
     parts = max(1, min(math.ceil(size / TASK_ROWS), 4 * df.sparkSession.sparkContext.defaultParallelism))
     plain = materialise(binned(rows, "x", cuts).drop("x").repartition(parts, "digest"))
+    sizes = [len(c) + 1 for c in cuts]
     if not size:
         for g in growers:
             g.trees = [Tree() for _ in range(g.spec.rounds)]
             for t in g.trees:
                 t.add(0.0)
-    sizes = [len(c) + 1 for c in cuts]
-    state = _written(plain, growers, None)
+    elif size <= LOCAL_ROWS and size * (len(cuts) + 8 * len(weights) + 20) <= LOCAL_BYTES:
+        _grown_in_tasks(plain, growers, sizes)
+    state = _written(plain, growers, None) if any(not g.done for g in growers) else None
     while any(not g.done for g in growers):
         if any(len(g.trees) - g.written > PENDING for g in growers):
             state = _written(plain, growers, state)
@@ -526,6 +543,42 @@ def fit_many(
     return [Boosted(g.spec, g.base, g.trees, cuts) for g in growers], plain
 
 
+def _grown_in_tasks(plain: DataFrame, growers: Sequence[Grower], sizes: Sequence[int]) -> None:
+    """Grow all ensembles over a small table, each in one task."""
+    table = plain.orderBy("digest", "fold").toArrow().combine_chunks()
+    todo = [(g.spec, g.base) for g in growers]
+
+    def grow(batches):
+        bins = _flat(table.column("bins").combine_chunks(), len(sizes), np.uint8)
+        columns = {k: table.column(k).to_numpy() for k in table.column_names if k != "bins"}
+        y, fold, digest = (columns[k] for k in ("y", "fold", "digest"))
+        starts = np.concatenate(([0], np.cumsum(sizes)))
+        cell, total = bins + starts[:-1], int(starts[-1])
+        for b in batches:
+            for place in b.column("id").to_pylist():
+                spec, base = todo[place]
+                own = Grower(spec, base)
+                weight = columns[spec.weight] if spec.weight else None
+                margin, known = np.full(len(y), base), 0
+                while not own.done:
+                    if known < len(own.trees) or not own.split:  # a new tree begins
+                        margin += margins_of([t.arrays() for t in own.trees[known:]], bins)
+                        known = len(own.trees)
+                        g, h = gradients(spec.loss, y, margin, weight)
+                        use = _used(spec, known, fold, digest, weight)
+                    slot = np.full(len(own.tree.feature), -1, dtype=np.int64)
+                    slot[own.wanted] = np.arange(len(own.wanted))
+                    sums = _sums_of(spec, own.tree.arrays(), slot, len(own.wanted), bins, cell, total, use, g, h)
+                    own.take(dict(zip(own.wanted, best_splits(sums, sizes, 0, spec))))
+                yield pa.RecordBatch.from_pydict({
+                    "place": pa.array([place], pa.int32()), "trees": pa.array([json.dumps([asdict(t) for t in own.trees])], pa.string())})
+
+    spark = plain.sparkSession
+    tasks = min(len(todo), 4 * spark.sparkContext.defaultParallelism)
+    for r in spark.range(0, len(todo), 1, tasks).mapInArrow(grow, "place int, trees string").toLocalIterator():
+        growers[r["place"]].trees = [Tree(**t) for t in json.loads(r["trees"])]
+
+
 def _written(plain: DataFrame, growers: Sequence[Grower], state: DataFrame | None) -> DataFrame:
     """Rows with the margins of all finished trees, written, so that later passes start from there."""
     width = len(growers)

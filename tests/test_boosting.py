@@ -103,8 +103,9 @@ SPECS = [
 ]
 
 
-@pytest.mark.parametrize("loss", ["squared", "logistic"])
-def test_all_growths_in_one_run_agree_with_plain_trees(spark, monkeypatch, loss):
+@pytest.mark.parametrize("loss, local_rows", [("squared", 0), ("logistic", 0), ("squared", 1000), ("logistic", 1000)])
+def test_all_growths_in_one_run_agree_with_plain_trees(spark, monkeypatch, loss, local_rows):
+    monkeypatch.setattr(boosting, "LOCAL_ROWS", local_rows)
     monkeypatch.setattr(boosting, "TASK_ROWS", 80)
     monkeypatch.setattr(boosting, "BLOCK", 2)
     pdf = data(classes=loss == "logistic")
@@ -156,10 +157,14 @@ def test_prefixes_subsamples_and_scoring(spark, tmp_path):
 
 def test_sums_do_not_depend_on_the_number_of_tasks(spark, monkeypatch):
     df = frame(spark, data())
-    one = boosting.fit_many(df, "features", "y", [SPECS[3]], NAMES, "id")[0][0]
-    monkeypatch.setattr(boosting, "TASK_ROWS", 20)
-    many = boosting.fit_many(df, "features", "y", [SPECS[3]], NAMES, "id")[0][0]
-    assert [(t.feature, t.cut) for t in one.trees] == [(t.feature, t.cut) for t in many.trees]
+    specs = [SPECS[3], Spec("level", 3, 0.3, depth=3, subsample=0.6, weight="w")]
+    found = []
+    for local_rows, task_rows in ((1000, 8192), (0, 8192), (0, 20)):
+        monkeypatch.setattr(boosting, "LOCAL_ROWS", local_rows)
+        monkeypatch.setattr(boosting, "TASK_ROWS", task_rows)
+        models = boosting.fit_many(df, "features", "y", specs, NAMES, "id")[0]
+        found.append([[(t.feature, t.cut) for t in m.trees] for m in models])
+    assert found[0] == found[1] == found[2]
 
 
 def test_constant_empty_and_null_labels(spark):
