@@ -6,15 +6,18 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import digest_number
 from ..session import materialise
 from .joins import left_join
 from .neighbors import BLOCK_ROWS, knn_join
 from .quantiles import EXACT_ROWS, column_quantiles
 
 SUBSAMPLE = 256
+PRIME = 4294967291  # the largest below 2 ** 32
 
 
 def _average_path(n: np.ndarray) -> np.ndarray:
@@ -51,39 +54,87 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple[int
     return [tuple(n) for n in nodes]
 
 
+def _turn(tree: int) -> tuple[int, int]:
+    """Factor and shift of a tree's hash of row digests."""
+    return (tree * 2654435761 + 1) % PRIME or 1, (tree * 40503 + 7) % PRIME
+
+
+def _drawn(trees: int, subsample: int):
+    """Task function: the first ``subsample`` rows of every tree's order among the task's rows."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple | None] = [None] * trees
+        for b in batches:
+            if not b.num_rows:
+                continue
+            base = b.column("base").to_numpy(zero_copy_only=False).astype(np.uint64)
+            ids = b.column("id").to_numpy(zero_copy_only=False)
+            x = b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            for t in range(trees):
+                factor, shift = _turn(t)
+                place = (base * np.uint64(factor) + np.uint64(shift)) % np.uint64(PRIME)
+                at = np.lexsort((ids, place))[:subsample] if len(place) <= subsample else None
+                if at is None:
+                    some = np.flatnonzero(place <= np.partition(place, subsample - 1)[subsample - 1])
+                    at = some[np.lexsort((ids[some], place[some]))][:subsample]
+                own = place[at], ids[at], x[at]
+                if held[t] is not None:
+                    own = tuple(np.concatenate(p) for p in zip(held[t], own))
+                    order = np.lexsort((own[1], own[0]))[:subsample]
+                    own = tuple(p[order] for p in own)
+                held[t] = own
+        for t, own in enumerate(held):
+            if own is not None:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(own[0]), t), pa.int32()), pa.array(own[0].astype(np.int64)), pa.array(own[1]), pa.array(list(own[2]), pa.list_(pa.float64()))],
+                    names=["tree", "place", "id", "v"])
+
+    return draw
+
+
+def isolation_samples(
+    df: DataFrame, id_col: str, vec: str = "vec", trees: int = 100, subsample: int = SUBSAMPLE, seed: int = 42
+) -> DataFrame:
+    """Rows (tree, place, id, v): each tree's sub-sample over all rows with a vector, by an integer id.
+
+    A row's digest, times a factor of the tree, plus a shift, modulo a prime is its place in
+    the tree's order; the first ``subsample`` places are drawn. Tasks send no more than
+    that per tree.
+    """
+    pool = df.select(digest_number(F.col(id_col), seed).alias("base"), F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("v"))
+    drawn = pool.where(F.col("v").isNotNull() & F.col("id").isNotNull()).mapInArrow(
+        _drawn(trees, subsample), "tree int, place bigint, id bigint, v array<double>")
+    first = Window.partitionBy("tree").orderBy("place", "id")
+    return drawn.withColumn("__r", F.row_number().over(first)).where(F.col("__r") <= subsample).drop("__r")
+
+
 def isolation_scores(
     df: DataFrame, id_col: str, vec: str = "vec", trees: int = 100, subsample: int = SUBSAMPLE, seed: int = 42,
     name: str = "isolation_score",
 ) -> DataFrame:
     """Isolation score in [-1, 0]; the lower, the more anomalous.
 
-    Sub-sampling is part of the method: at most trees x subsample rows, chosen
-    by a seeded digest, are all a forest ever learns from. Trees grow in tasks;
-    the forest (a fixed number of nodes) then scores every row where it lies.
+    Each tree learns from a sub-sample of its own over all rows (``isolation_samples``) and
+    grows where its rows meet; only the nodes, a fixed number, reach the driver and then
+    score every row where it lies.
     """
-    digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed))))
-    pool = df.select(id_col, F.col(vec).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
-    drawn = pool.orderBy(digest, id_col).limit(trees * subsample).collect()
-    if not drawn:
+    drawn = isolation_samples(df, id_col, vec, trees, subsample, seed)
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["place", "id"])
+        t = int(pdf["tree"].iloc[0])
+        limit = int(np.ceil(np.log2(max(min(subsample, len(pdf)), 2))))
+        nodes = _grow(np.stack(pdf["v"].to_numpy()).astype(float), np.random.default_rng([seed, t]), limit)
+        return pd.DataFrame(nodes, columns=["feature", "cut", "left", "right", "depth"]).assign(
+            tree=t, node=range(len(nodes)), size=len(pdf))
+
+    grown = drawn.groupBy("tree").applyInPandas(
+        grow, "tree long, node int, feature int, cut double, left int, right int, depth double, size int"
+    ).toPandas().sort_values(["tree", "node"])
+    if grown.empty:
         return df.withColumn(name, F.lit(None).cast("double"))
-    x = np.array([r["v"] for r in drawn], dtype=float)
-    size = min(subsample, len(x))
-    limit = int(np.ceil(np.log2(max(size, 2))))
+    size = int(grown["size"].iloc[0])
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(x)
-
-    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for t in pdf["id"]:
-                rng = np.random.default_rng([seed, int(t)])
-                rows = shared.value[rng.choice(len(shared.value), size, replace=False)]
-                nodes = _grow(rows, rng, limit)
-                yield pd.DataFrame(nodes, columns=["feature", "cut", "left", "right", "depth"]).assign(
-                    tree=int(t), node=range(len(nodes)))
-
-    grown = spark.range(trees).mapInPandas(
-        grow, "tree long, node int, feature int, cut double, left int, right int, depth double"
-    ).toPandas().sort_values(["tree", "node"])
     forest = spark.sparkContext.broadcast(
         [tuple(g[c].to_numpy() for c in ("feature", "cut", "left", "right", "depth")) for _, g in grown.groupby("tree")]
     )

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import anomaly, cluster, scale
+from ..operators import anomaly, cluster, scale, ward
 from ..session import materialise
 
 
@@ -55,10 +55,10 @@ def sweep(
 
 
 def hierarchical_check(df: DataFrame, id_col: str, k: int = 4, vec: str = "vec", seed: int = 42) -> DataFrame:
-    """Silhouette of top-down hierarchical clusters beside k-means."""
+    """Silhouette of Ward clusters beside k-means."""
     df = materialise(df)
-    top_down = BisectingKMeans(k=k, seed=seed).fit(df.select(array_to_vector(vec).alias("features")))
-    a = cluster.silhouette(label_rows(top_down, df, vec), id_col, "cluster", vec).withColumn("method", F.lit("bisecting"))
+    bottom_up = materialise(ward.linkage(df, vec, seed=seed).label(k))
+    a = cluster.silhouette(bottom_up, id_col, "cluster", vec).withColumn("method", F.lit("ward"))
     b = cluster.silhouette(label_rows(fit_kmeans(df, k, vec, seed), df, vec), id_col, "cluster", vec)
     return a.unionByName(b.withColumn("method", F.lit("kmeans")))
 

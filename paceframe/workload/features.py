@@ -359,6 +359,15 @@ def target_encode_additive(spark, sf):
     return _encoded(spark, sf, "additive", 3.0, 0.0)
 
 
+@query("ordered_target_codes", with_roles(f"""
+SELECT result_id, {sql6("""(coalesce(sum(position) OVER w, 0) + 2.0::DOUBLE * 10) / (count(position) OVER w + 2.0::DOUBLE)""", 'code')}
+FROM entries WINDOW w AS (PARTITION BY driver_id ORDER BY md5(concat(result_id::VARCHAR, '42')), result_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""", "entries"))
+def ordered_target_codes(spark, sf):
+    df = R.entries(spark, sf).select("result_id", "driver_id", "position")
+    return rounded(encode.ordered_target_codes(df, "driver_id", "position", "result_id", 10.0, 2.0).select("result_id", "code"))
+
+
 @query("onehot_dropfirst", """
 SELECT o_orderkey, cast(o_orderstatus = 'O' AS INTEGER) AS "o_orderstatus_O",
   cast(o_orderstatus = 'P' AS INTEGER) AS "o_orderstatus_P" FROM orders""")

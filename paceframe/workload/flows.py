@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import balance, cluster, entity, metrics, models, split
+from ..operators import balance, cluster, entity, fold_statistics, metrics, models, split, ward
 from ..plans import classification, defaults, laps, regression, scoring, segments
 from ..session import materialise
 from . import roles as R
+from .features import unit_sql
 from .flow_sql import CLASSIFICATION_PREP, LAP_PREP, REGRESSION_PREP
 from .registry import ORACLES, query, rounded, sql6
 from .relational import regression_rows
@@ -109,6 +110,38 @@ def tune_classifier(spark, sf):
     return models.tune_many(df, names, "target", list(grids), grids, "result_id", "classification", weight="weight")[1]
 
 
+_ALPHAS = (0.01, 10.0, 5000.0)
+
+
+# one feature: every penalty and held-out fold in closed form
+@query("ridge_fold_scores", with_roles(f"""
+WITH t AS (SELECT cast(floor({unit_sql('result_id', '42-fold')} * 5) AS INTEGER) AS fold, position_order::DOUBLE AS y, points::DOUBLE AS x
+  FROM entries WHERE position_order IS NOT NULL AND points IS NOT NULL),
+c AS (SELECT k.i AS held_out, fold = k.i AS test, count(*) AS n, avg(x) AS mx, avg(y) AS my, regr_sxx(y, x) AS sxx, regr_sxy(y, x) AS sxy, regr_syy(y, x) AS syy
+  FROM t CROSS JOIN range(0, 5) k(i) GROUP BY ALL),
+b AS (SELECT held_out, alpha, sxy / (sxx + alpha) AS b, my - mx * sxy / (sxx + alpha) AS a
+  FROM c CROSS JOIN (SELECT unnest([0.01, 10.0, 5000.0])::DOUBLE AS alpha) WHERE NOT test)
+SELECT alpha, cast(c.held_out AS INTEGER) AS held_out,
+  {sql6('1 - (n * (my - a - b * mx) * (my - a - b * mx) + syy - 2 * b * sxy + b * b * sxx) / syy', 'r2')}
+FROM b JOIN c ON c.held_out = b.held_out AND c.test""", "entries"))
+def ridge_fold_scores(spark, sf):
+    """R2 of every penalty on every held-out fold, from one pass over the rows."""
+    df = R.entries(spark, sf).select("result_id", F.col("position_order").cast("double").alias("y"), F.col("points").cast("double").alias("x")).dropna()
+    df = split.hash_folds(df, "result_id").withColumn("features", F.array("x"))
+    parts = fold_statistics.moments(df, "features", "y", "fold")
+    return rounded(spark.createDataFrame(fold_statistics.fold_scores(parts, "ridge", _ALPHAS, 5), "alpha double, held_out int, r2 double"))
+
+
+@query("ward_segments", f"SELECT count(*) AS rows, 4::BIGINT AS clusters, true AS heights_rise FROM ({ORACLES['driver_features']})")
+def ward_segments(spark, sf):
+    """Drivers in four Ward clusters: rows that have one, clusters in use, and whether no merge is lower than one before."""
+    df = segments.scaled_vectors(_profiles(spark, sf), entity.SEGMENT_FEATURES)
+    tree = ward.linkage(df)
+    heights = [h for _, _, h, _ in tree.merges]
+    return tree.label(4).agg(F.count("cluster").alias("rows"), F.count_distinct("cluster").alias("clusters")).withColumn(
+        "heights_rise", F.lit(all(a <= b for a, b in zip(heights, heights[1:]))))
+
+
 @query("feature_importance")
 def feature_importance(spark, sf):
     df, names = _plain_rows(spark, sf)

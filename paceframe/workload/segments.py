@@ -223,6 +223,16 @@ def anomaly_summary(spark, sf):
     return rounded(anomaly.method_summary(_flagged(spark, sf), _METHODS))
 
 
+@query("isolation_samples", with_roles("""
+WITH b AS (SELECT vec_id, ('0x' || substr(md5(concat(vec_id::VARCHAR, '42')), 1, 8))::UBIGINT::HUGEINT AS base FROM vectors),
+p AS (SELECT t.i AS tree, vec_id, (base * (CASE WHEN (t.i * 2654435761 + 1) % 4294967291 = 0 THEN 1 ELSE (t.i * 2654435761 + 1) % 4294967291 END)
+  + (t.i * 40503 + 7) % 4294967291) % 4294967291 AS place FROM b CROSS JOIN range(0, 100) t(i))
+SELECT cast(tree AS INTEGER) AS tree, vec_id, place::BIGINT AS place FROM p
+QUALIFY row_number() OVER (PARTITION BY tree ORDER BY place, vec_id) <= 256""", "vectors"))
+def isolation_samples(spark, sf):
+    return anomaly.isolation_samples(R.vectors(spark, sf), "vec_id").select("tree", F.col("id").alias("vec_id"), "place")
+
+
 # random draws cannot be said in SQL: rows only, invariants are unit-tested
 @query("isolation_flag")
 def isolation_flag(spark, sf):
