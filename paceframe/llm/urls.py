@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .text import ascii_lower
 
 DIM = 1 << 14
-NGRAMS = (2, 3, 4)
+NGRAMS = (3, 4, 5)
 
 
 @dataclass(frozen=True)
@@ -58,14 +58,15 @@ PLACES = (("", "com"), ("www.", "org"), ("m.", "net"), ("blog.", "info"), ("", "
 PATHS = ("", "/", "/index.html", "/en/17", "/a/b.php?id=4", "/2024/05/12/", "/fr/204.html", "/about", "/p/31/", "/de/9?page=2", "/es/8", "/list", "/x")
 
 
-def _labelled(words: Sequence[str], each: int = 6) -> tuple[str, ...]:
-    """``each`` URLs per word: alone, joined and with hyphens, before and after a companion."""
+def _labelled(words: Sequence[str], each: int = 9) -> tuple[str, ...]:
+    """``each`` URLs per word: alone, joined and with hyphens, before and after a companion, and on a host of others."""
     out = []
     for i, word in enumerate(words):
         for k in range(each):
             n = i * each + k
             other = COMPANIONS[n % len(COMPANIONS)]
-            name = (word, f"{word}-{other}", f"{word}{other}", f"{other}-{word}", f"{other}{word}", f"{word}-{n % 90}")[k % 6]
+            name = (word, f"{word}-{other}", f"{word}{other}", f"{other}-{word}", f"{other}{word}", f"{word}-{n % 90}",
+                    f"{other}-{word}.{COMPANIONS[(n + 3) % len(COMPANIONS)]}", f"{word}.{other}", f"{other}{word}-{COMPANIONS[(n + 5) % len(COMPANIONS)]}.{other}")[k % 9]
             sub, top = PLACES[n % len(PLACES)]
             out.append(f"{('http', 'https')[n % 2]}://{sub}{name}.{top}{PATHS[n % len(PATHS)]}")
     return tuple(out)
@@ -120,13 +121,14 @@ def _featured(df: DataFrame) -> DataFrame:
 
 
 def fit(spark: SparkSession, good: Sequence[str] = GOOD_URLS, junk: Sequence[str] = JUNK_URLS) -> LogisticRegressionModel:
-    """Logistic regression over hashed n-grams of a small labelled URL table."""
+    """Logistic regression over hashed n-grams of a small labelled URL table; both classes weigh the same."""
+    weight = {0.0: (len(good) + len(junk)) / (2.0 * max(len(good), 1)), 1.0: (len(good) + len(junk)) / (2.0 * max(len(junk), 1))}
     table = spark.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(u).alias("url"), F.lit(y).alias("label")) for urls, y in ((good, 0.0), (junk, 1.0)) for u in urls
+        F.struct(F.lit(u).alias("url"), F.lit(y).alias("label"), F.lit(weight[y]).alias("weight")) for urls, y in ((good, 0.0), (junk, 1.0)) for u in urls
     ])))
-    rows = _featured(table.select("label", host_of(F.col("url")).alias("_host"), path_of(F.col("url")).alias("_path")))
+    rows = _featured(table.select("label", "weight", host_of(F.col("url")).alias("_host"), path_of(F.col("url")).alias("_path")))
     return LogisticRegression(
-        featuresCol="_features", labelCol="label", maxIter=60, regParam=0.01, standardization=False
+        featuresCol="_features", labelCol="label", weightCol="weight", maxIter=60, regParam=0.003, standardization=False
     ).fit(rows.coalesce(1))
 
 
