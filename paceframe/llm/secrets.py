@@ -33,8 +33,8 @@ class CharClass:
 
 WINDOW = 20
 CLASSES = (
-    CharClass("entropy-hex", r"[0-9A-Fa-f]{24,}", r"[0-9A-Fa-f]{24}", 3.1),
-    CharClass("entropy-base64", r"[A-Za-z0-9+/_-]{24,}={0,2}", r"[A-Za-z0-9+/_-]{24}", 3.9),
+    CharClass("entropy-hex", r"[0-9A-Fa-f]{20,}", r"[0-9A-Fa-f]{20}", 3.1),
+    CharClass("entropy-base64", r"[A-Za-z0-9+/_-]{20,}={0,2}", r"[A-Za-z0-9+/_-]{20}", 3.9),
 )
 KINDS = ("assign", "access", "hex", *(c.kind for c in CLASSES))
 # candidates that hold one of these are placeholders, samples or addresses, not secrets

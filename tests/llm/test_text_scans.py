@@ -138,3 +138,10 @@ def test_url_model_judges_hosts_outside_its_table(spark):
     got = urls.judge(spark.createDataFrame(rows, "url string, want string"), rules=()).collect()
     for want in ("block", "allow"):
         assert sum(r["verdict"] == want for r in got if r["want"] == want) >= 9
+
+
+def test_keys_as_long_as_the_window_are_found(spark):
+    texts = ["id q7Zr2Lp9Xw4Tb6Nc8Kd1 end", "id 0f3a9c7e5b1d8642e9a0 end", "id q7Zr2Lp9Xw4Tb6Nc8Kd end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["secrets"]] for r in secrets.scan(df).collect()}
+    assert got == {0: [("entropy-base64", 3, 23)], 1: [("entropy-hex", 3, 23)], 2: []}
