@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import anomaly, cluster, scale, ward
+from ..operators import anomaly, cluster, kmeans, scale, ward
 from ..session import materialise
 
 
@@ -21,33 +18,26 @@ def scaled_vectors(df: DataFrame, cols: Sequence[str], name: str = "vec") -> Dat
     return df.withColumn(name, F.array(*[F.coalesce(p.cast("double"), F.lit(0.0)) for p in parts]))
 
 
-def fit_kmeans(df: DataFrame, k: int, vec: str = "vec", seed: int = 42, restarts: int = 10) -> KMeansModel:
-    """Best of several seeded starts by training cost."""
-    data = df.select(array_to_vector(vec).alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        models = [KMeans(k=k, seed=seed + i, initMode="k-means||").fit(data) for i in range(restarts)]
-    finally:
-        data.unpersist()
-    return min(models, key=lambda m: m.summary.trainingCost)
+def fit_kmeans(df: DataFrame, k: int, vec: str = "vec", seed: int = 42, restarts: int = 10) -> kmeans.Centres:
+    """Best of several seeded starts by cost, all of them in common scans."""
+    return kmeans.fit_many(df, [k], vec, seed, restarts)[k]
 
 
-def label_rows(model, df: DataFrame, vec: str = "vec", name: str = "cluster") -> DataFrame:
-    ready = df.withColumn("features", array_to_vector(vec))
-    return model.transform(ready).withColumn(name, F.col("prediction").cast("bigint")).drop("features", "prediction")
+def label_rows(model: kmeans.Centres, df: DataFrame, vec: str = "vec", name: str = "cluster") -> DataFrame:
+    return df.withColumn(name, model.nearest(F.col(vec).cast("array<double>")))
 
 
 def sweep(
     df: DataFrame, id_col: str, ks: Iterable[int], vec: str = "vec", seed: int = 42, restarts: int = 10, exact: bool = True
 ) -> DataFrame:
-    """Internal measures for every k.
+    """Internal measures for every k, whose starts all take part in the same scans.
 
     ``exact`` uses the Euclid silhouette, quadratic in the rows and meant for
     entity tables; otherwise the squared one, which is linear.
     """
     df, rows = materialise(df), []
-    for k in ks:
-        labelled = label_rows(fit_kmeans(df, k, vec, seed, restarts), df, vec)
-        row = cluster.quality_row(labelled, id_col, "cluster", vec, exact).first()
+    for k, model in kmeans.fit_many(df, list(ks), vec, seed, restarts).items():
+        row = cluster.quality_row(label_rows(model, df, vec), id_col, "cluster", vec, exact).first()
         rows.append((k, row["silhouette"], row["calinski_harabasz"], row["davies_bouldin"], row["inertia"]))
     return df.sparkSession.createDataFrame(
         rows, "k int, silhouette double, calinski_harabasz double, davies_bouldin double, inertia double"
@@ -65,7 +55,7 @@ def hierarchical_check(df: DataFrame, id_col: str, k: int = 4, vec: str = "vec",
 
 def train_segments(
     profiles: DataFrame, cols: Sequence[str], k: int = 3, seed: int = 42, restarts: int = 10
-) -> tuple[KMeansModel, DataFrame]:
+) -> tuple[kmeans.Centres, DataFrame]:
     """Model and profiles with cluster, scaled vector and two principal components."""
     df = materialise(scaled_vectors(materialise(profiles), cols))
     model = fit_kmeans(df, k, "vec", seed, restarts)
@@ -95,7 +85,7 @@ def detect_anomalies(labelled: DataFrame, id_col: str, seed: int = 42, neighbour
     return anomaly.consensus(df, ("is_anomaly_isolation", "is_anomaly_distance", "is_anomaly_lof"))
 
 
-def misplaced(model: KMeansModel, labelled: DataFrame) -> DataFrame:
+def misplaced(model: kmeans.Centres, labelled: DataFrame) -> DataFrame:
     """One row: labelled rows, whether at most k clusters are used, and rows that are not with their nearest centre."""
     centres = labelled.sparkSession.createDataFrame(
         [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster long, centroid array<double>"

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from paceframe.operators import anomaly, encode, fold_statistics, models, split, ward
+from paceframe.operators import anomaly, encode, fold_statistics, kmeans, models, split, ward
 
 
 @pytest.fixture(scope="module")
@@ -165,3 +165,23 @@ def test_isolation_samples_are_the_first_of_each_order(spark):
         assert sorted(got[got["tree"] == t]["id"]) == sorted(want)
     scores = anomaly.isolation_scores(df.where("id < 300").unionByName(spark.createDataFrame([(999, [9e3, -9e3])], df.schema)), "id", trees=50).toPandas()
     assert scores.loc[scores["isolation_score"].idxmin(), "id"] == 999
+
+
+def test_kmeans_of_many_candidates(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.normal(size=(40, 3)) + c for c in ((0, 0, 0), (12, 0, 0), (0, 12, 5), (9, 9, 9))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(999, None)], "id long, vec array<double>").repartition(4)
+    passes = []
+    monkeypatch.setattr(kmeans, "_sums", lambda rows, c, old=kmeans._sums: passes.append(len(c)) or old(rows, c))
+    found = kmeans.fit_many(df, [2, 4, 200], restarts=5)
+    assert passes[0] == 15 and len(passes) <= kmeans.STEPS  # all candidates share the scans
+    for k in (2, 4):
+        p = found[k].points
+        own = ((x[:, None] - p[None]) ** 2).sum(2)
+        assert found[k].cost == pytest.approx(own.min(1).sum())
+        moved = np.array([x[own.argmin(1) == i].mean(0) for i in range(k)])
+        assert np.allclose(moved, p, atol=1e-3)  # a further step changes nothing
+    assert found[200].getK() == 160 and found[200].cost == pytest.approx(0.0)
+    got = df.withColumn("c", found[4].nearest("vec")).toPandas().sort_values("id")
+    assert got["c"][:160].groupby(np.repeat(range(4), 40)).nunique().tolist() == [1] * 4 and np.isnan(got["c"].iloc[-1])
+    assert kmeans.fit_many(df.limit(0), [3])[3].getK() == 0
