@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,6 +110,23 @@ def assert_inputs(frames: Mapping[str, DataFrame], required: int = 1) -> None:
         raise ValueError(f"tables without rows: {', '.join(sorted(empty))}")
 
 
-def step_counts(steps: Mapping[str, DataFrame]) -> DataFrame:
-    """Shape report: rows and columns after each named step (opt-in, one job per step)."""
-    return input_report(steps).drop("ok").withColumnRenamed("table_name", "step")
+class StepCounts:
+    """Rows and columns after each step of a flow, counted by the job that writes its result.
+
+    ``watch`` returns the step's DataFrame with an observation on it; later steps build on
+    what it returns. Nothing is read twice for the report, and a step whose rows never
+    flow (another branch, an empty plan) counts 0.
+    """
+
+    def __init__(self) -> None:
+        self.steps: list[tuple[str, Observation, int]] = []
+
+    def watch(self, step: str, df: DataFrame) -> DataFrame:
+        seen = Observation(f"step-{len(self.steps)}-{step}")
+        self.steps.append((step, seen, len(df.columns)))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """One row per step; call it after the flow's job."""
+        rows = [(step, int(seen.get.get("rows", 0)), columns) for step, seen, columns in self.steps]
+        return spark.createDataFrame(rows, "step string, rows bigint, columns bigint")

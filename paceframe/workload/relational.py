@@ -63,9 +63,10 @@ UNION ALL SELECT 'era', count(*) FILTER (WHERE year BETWEEN 1996 AND 2000), 12::
 UNION ALL SELECT 'finished', count(*) FILTER (WHERE year BETWEEN 1996 AND 2000 AND position BETWEEN 1 AND 30), 12::BIGINT
 FROM entries""", "entries"))
 def step_row_counts(spark, sf):
-    raw = R.entries(spark, sf)
-    era = clean.keep_era(raw, 1996, 2000)
-    return src.step_counts({"raw": raw, "era": era, "finished": clean.keep_finishers(era)})
+    steps = src.StepCounts()
+    era = steps.watch("era", clean.keep_era(steps.watch("raw", R.entries(spark, sf)), 1996, 2000))
+    materialise(steps.watch("finished", clean.keep_finishers(era)))
+    return steps.report(spark)
 
 
 # --- filters and projection -------------------------------------------------
