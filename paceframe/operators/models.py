@@ -123,6 +123,8 @@ def make_estimator(
         return LinearRegression(standardization=False, **common, **opts)
     if name == "logistic_regression":
         return LogisticRegression(standardization=False, **common, **opts)
+    if name == "random_forest":
+        opts["cacheNodeIds"] = True  # deep trees: rows keep their node instead of walking down again at every level
     kinds: dict[tuple[str, str], Callable] = {
         ("decision_tree", "regression"): DecisionTreeRegressor,
         ("random_forest", "regression"): RandomForestRegressor,

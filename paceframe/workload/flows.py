@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import balance, cluster, entity, fold_statistics, metrics, models, split, ward
 from ..plans import classification, defaults, laps, regression, scoring, segments
-from ..session import materialise
+from ..session import materialise, scratch_folder
 from . import roles as R
 from .features import unit_sql
 from .flow_sql import CLASSIFICATION_PREP, LAP_PREP, REGRESSION_PREP
@@ -228,6 +228,17 @@ def score_scenarios(spark, sf):
     return rounded(scoring.score_linear(both, fitted, _W, 9.0, ["result_id", "scenario"]))
 
 
+@query("score_saved_model", with_roles(f"""
+WITH {_XY}, {_ONE} SELECT result_id, {sql6('my + (coalesce(points, 0) - mx) * sxy / sxx', 'pred')} FROM entries CROSS JOIN s""", "entries"))
+def score_saved_model(spark, sf):
+    """Fit, save, load and score: every row by the model that came back from its folder."""
+    rows = R.entries(spark, sf).select("result_id", F.col("position_order").cast("double").alias("label"), "points", F.lit("train").alias("split"))
+    model = models.fit_regressors(rows, ["points"], "label", names=("linear",)).models["linear"]
+    again = models.load_model(spark, models.save_model(model, scratch_folder(spark), "1"))
+    scored = again.transform(models.assemble(rows, ["points"], ["result_id"]))
+    return rounded(scored.select("result_id", F.col("prediction").alias("pred")))
+
+
 # --- clustering --------------------------------------------------------------------------
 
 def _profiles(spark, sf):

@@ -41,6 +41,15 @@ def test_regression_training_and_scoring(spark, prepared):
     assert out.where("low < 1 or high > 24 or pred is null").count() == 0
 
 
+def test_training_with_the_default_folds(spark, prepared):
+    df, fitted = prepared
+    small = {"rounds": [2], "leaves": [4]}
+    winner, model, table = regression.train(
+        df, fitted.columns, names=("ridge", "boosting_leafwise"), grids={"ridge": {"alpha": [0.1, 1.0]}, "boosting_leafwise": small},
+        params={"boosting_leafwise": {"rounds": 2}})
+    assert winner == "ridge" and {r["model"] for r in table.collect()} == {"ridge", "boosting_leafwise"}
+
+
 def test_classification_balance_and_training(spark):
     df, names = classification.encode_flow(classification.prepare(tables(spark, FOLDER), CUT))
     df = materialise(df)
