@@ -175,4 +175,4 @@ def test_pipeline_drops_near_copies_of_five_words(spark, tmp_path):
 
 def test_every_operator_has_a_query():
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in queries()
