@@ -122,10 +122,13 @@ def _featured(df: DataFrame) -> DataFrame:
 
 def fit(spark: SparkSession, good: Sequence[str] = GOOD_URLS, junk: Sequence[str] = JUNK_URLS) -> LogisticRegressionModel:
     """Logistic regression over hashed n-grams of a small labelled URL table; both classes weigh the same."""
-    weight = {0.0: (len(good) + len(junk)) / (2.0 * max(len(good), 1)), 1.0: (len(good) + len(junk)) / (2.0 * max(len(junk), 1))}
-    table = spark.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(u).alias("url"), F.lit(y).alias("label"), F.lit(weight[y]).alias("weight")) for urls, y in ((good, 0.0), (junk, 1.0)) for u in urls
-    ])))
+    def labelled(known: Sequence[str], label: float) -> DataFrame:
+        # one text that is cut, as a literal per URL makes the plan slow
+        url = F.explode(F.split(F.lit("\n".join(known)), "\n")).alias("url")
+        weight = (len(good) + len(junk)) / (2.0 * max(len(known), 1))
+        return spark.range(1).select(url, F.lit(label).alias("label"), F.lit(weight).alias("weight"))
+
+    table = labelled(good, 0.0).unionByName(labelled(junk, 1.0))
     rows = _featured(table.select("label", "weight", host_of(F.col("url")).alias("_host"), path_of(F.col("url")).alias("_path")))
     return LogisticRegression(
         featuresCol="_features", labelCol="label", weightCol="weight", maxIter=60, regParam=0.003, standardization=False
