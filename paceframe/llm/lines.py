@@ -75,28 +75,35 @@ def dedup(
     one document counts as one site. NULL texts are empty and have one empty line.
     Rows without site spread nothing, but spread lines leave them too; a NULL id is
     never the smallest. Repeated rows are treated alike, an empty table stays empty,
-    and input columns with the names of added ones are replaced.
+    input columns with the names of added ones are replaced, and all others stay.
     """
     added = ("n_lines", "n_removed", "kept_text")
-    keep = [c for c in docs.columns if c not in added and not c.startswith("_ln_")]
-    same = [F.col(f"`{c}`") for c in keep]
+    keep = [c for c in docs.columns if c not in added]
+    same = [F.col(f"row.`{c}`") for c in keep]
+    # rows without an id are told apart by their text, so no two texts share one set of marks
+    part = F.when(F.col(doc).isNull(), F.xxhash64(F.col(text))).otherwise(F.lit(0))
     spread = spread_lines(docs, text, doc, site, min_sites, min_chars, lg_k)
     hits = (
-        docs.select(F.col(doc).alias("_ln_doc"), F.explode(F.array_distinct(F.transform(
+        docs.select(F.col(doc).alias("_ln_doc"), part.alias("_ln_part"), F.explode(F.array_distinct(F.transform(
             F.filter(line_array(F.col(text)), lambda x: counted(x, min_chars)), line_key))).alias("k"))
-        .select("_ln_doc", "k.a", "k.b").join(spread, ["a", "b"])
+        .select("_ln_doc", "_ln_part", "k.a", "k.b").join(spread, ["a", "b"])
     )
     if keep_first:
         hits = hits.where(~F.col("_ln_doc").eqNullSafe(F.col("first_doc")))
     # a document's spread lines: never more than it has lines
-    marks = hits.groupBy("_ln_doc").agg(F.collect_set(F.struct("a", "b")).alias("_ln_bad"))
-    rows = docs.select(*same, F.col(doc).alias("_ln_id"))
-    out = rows.join(marks, F.col("_ln_id").eqNullSafe(F.col("_ln_doc")), "left")
-    lines = line_array(F.col(text))
+    marks = hits.groupBy("_ln_doc", "_ln_part").agg(F.collect_set(F.struct("a", "b")).alias("_ln_bad"))
+    # input columns travel in one struct, whatever their names
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text).alias("_ln_text"),
+        F.col(doc).alias("_ln_id"), part.alias("_ln_at"),
+    )
+    found = F.col("_ln_id").eqNullSafe(F.col("_ln_doc")) & (F.col("_ln_at") == F.col("_ln_part"))
+    out = rows.join(marks, found, "left")
+    lines = line_array(F.col("_ln_text"))
     kept = F.when(F.col("_ln_bad").isNull(), lines).otherwise(
         F.filter(lines, lambda x: ~(counted(x, min_chars) & F.array_contains(F.col("_ln_bad"), line_key(x))))
     )
-    out = out.select(*same, lines.alias("_ln_all"), kept.alias("_ln_kept"), F.col("_ln_bad").isNotNull().alias("_ln_any"))
+    out = out.select("row", lines.alias("_ln_all"), kept.alias("_ln_kept"))
     return out.select(
         *same, F.size("_ln_all").cast("bigint").alias("n_lines"),
         (F.size("_ln_all") - F.size("_ln_kept")).cast("bigint").alias("n_removed"),

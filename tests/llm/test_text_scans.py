@@ -125,6 +125,21 @@ def test_lines_equal_brute_force(spark):
     assert lines.clean(df.withColumn("n_chars", F.length("text")), min_sites=2).columns == [*df.columns, "n_chars"]
 
 
+def test_lines_of_rows_without_an_id_and_with_any_column_names(spark):
+    wide, other = "a line that stands on many sites", "another line found on many sites"
+    rows = [(i, f"{wide}\n{other}", f"s{i}", "x", i) for i in (1, 2, 3)]
+    rows += [(None, f"{wide}\nshort", "s4", "x", 7), (None, f"own words of a single document\n{other}", "s5", "x", 8)]
+    rows += [(None, None, "s6", "x", 9), (2, f"{wide}\n{other}", "s2", "x", 2), (4, "", None, "x", 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _ln_bad string, row long")
+    got = lines.dedup(df, min_sites=3)
+    assert got.columns == [*df.columns, "n_lines", "n_removed", "kept_text"]
+    have = sorted((r["row"], r["_ln_bad"], r["n_lines"], r["n_removed"], r["kept_text"]) for r in got.collect())
+    assert have == [
+        (1, "x", 2, 0, f"{wide}\n{other}"), (2, "x", 2, 2, ""), (2, "x", 2, 2, ""), (3, "x", 2, 2, ""), (4, "x", 1, 0, ""),
+        (7, "x", 2, 1, "short"), (8, "x", 2, 1, "own words of a single document"), (9, "x", 1, 0, ""),
+    ]
+
+
 def test_url_model_judges_hosts_outside_its_table(spark):
     junk = ("mega-casino.biz pokerstarz.net cheappills.com quick-payday-loans.org xxxvideos.tv buyfollowers.co free-slots-777.eu "
             "pharmacydeals.ru adulttube.org replicabags.shop tracker-pixel.net adsbanner.info").split()
