@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import materialise
+from .store import discard, materialise
 
 MAX_ROUNDS = 60
 SLAB = 400_000  # links that a task contracts at a time
@@ -28,7 +28,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if _are_stars(edges):
             break
-        edges = materialise(_small_star(_large_star(edges.mapInArrow(_contract, EDGE))))
+        before = edges
+        edges = materialise(_small_star(_large_star(before.mapInArrow(_contract, EDGE))))
+        discard(before)
     else:
         raise RuntimeError("components did not settle")
     tops = edges.select("v").distinct().select(F.col("v").alias("id"), F.col("v").alias("component"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame
 
 from .. import session
@@ -9,6 +11,10 @@ from .. import session
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Folder of each table that ``materialise`` returned.
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back, without leaving its shuffle files behind.
 
@@ -18,10 +24,23 @@ def materialise(df: DataFrame) -> DataFrame:
     conf = df.sparkSession.conf
     before = conf.get(CLEAN, None)
     conf.set(CLEAN, "true")
+    path = session.scratch_folder(df.sparkSession)
     try:
-        return session.materialise(df)
+        df.write.parquet(path)
     finally:
         if before is None:
             conf.unset(CLEAN)
         else:
             conf.set(CLEAN, before)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _folders[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the folders of tables from ``materialise`` when all that reads them is written itself."""
+    for table in tables:
+        path = _folders.pop(table)
+        spark = table.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
