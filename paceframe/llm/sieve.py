@@ -33,13 +33,18 @@ def may_hold(sieve: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (sieve[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def split(df: DataFrame, key: Column, keys: DataFrame, col: str, bits: int) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key may be in a table, and the others, by a join with the broadcast bitmap (``bits`` / 8 bytes)."""
+def marked(df: DataFrame, key: Column, keys: DataFrame, col: str, bits: int, name: str) -> DataFrame:
+    """Rows with a flag ``name``: may the key be in a table, by a join with the broadcast bitmap (``bits`` / 8 bytes)."""
     at = F.pmod(key, F.lit(bits))
     pages = bitmap(keys, col, bits)
     rows = df.withColumn("_sv_page", F.floor(at / F.lit(PAGE)).cast("int")).withColumn("_sv_bit", F.pmod(at, F.lit(PAGE)).cast("int"))
     joined = rows.join(F.broadcast(pages), F.col("_sv_page") == F.col("page"), "left")
     byte = "cast(conv(hex(substring(map, shiftright(_sv_bit, 3) + 1, 1)), 16, 10) as int)"
     hit = F.coalesce(F.expr(f"shiftright({byte}, pmod(_sv_bit, 8)) & 1 = 1"), F.lit(False))
-    drop = ("_sv_page", "_sv_bit", "page", "map")
-    return joined.where(hit).drop(*drop), joined.where(~hit).drop(*drop)
+    return joined.withColumn(name, hit).drop("_sv_page", "_sv_bit", "page", "map")
+
+
+def split(df: DataFrame, key: Column, keys: DataFrame, col: str, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may be in a table, and the others."""
+    rows = marked(df, key, keys, col, bits, "_sv_hit")
+    return rows.where("_sv_hit").drop("_sv_hit"), rows.where("not _sv_hit").drop("_sv_hit")

@@ -14,12 +14,11 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import merged, raw_texts, runs, slices
-from .sieve import collected, may_hold, split
+from .sieve import collected, marked, may_hold, split
 from .text import mix
 from .store import materialise
 
@@ -35,6 +34,8 @@ ID_BITS = 1 << 22
 HOT_DOCS = 16384
 #: Rows of a table of repeated texts up to which it is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 500_000
+#: Parts of the anchors of a gram that has over HOT_DOCS of them.
+SALTS = 64
 _FAR = np.iinfo(np.int64).max
 
 
@@ -61,6 +62,11 @@ def _slide(x: np.ndarray, w: int) -> np.ndarray:
 
 def anchors(text: bytes, tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Gram hash, position, first and last window of every anchor of a text, from prefix polynomial hashes."""
+    return keyed_anchors(text, tables)[:4]
+
+
+def keyed_anchors(text: bytes, tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """What ``anchors`` gives, and a key of the bytes that the anchor's windows cover and of its place in them."""
     parts = []
     up, down = tables
     for at in range(0, max(0, len(text) - LENGTH + 1), PIECE):
@@ -74,10 +80,12 @@ def anchors(text: bytes, tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndar
         first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
         last = np.concatenate((first[1:] - 1, [len(least) - 1]))
         pos = least[first].astype(np.int64)
-        parts.append((h[pos].view(np.int64), pos + at, first + at, last + at))
+        place = ((pos - first) * LENGTH + last - first + 1).astype(np.uint64)
+        key = mix((prefix[last + LENGTH] - prefix[first]) * down[first] + mix(place))
+        parts.append((h[pos].view(np.int64), pos + at, first + at, last + at, key.view(np.int64)))
     if not parts:
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none, none
+        return none, none, none, none, none
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
@@ -207,14 +215,14 @@ def repeated_bytes(docs: DataFrame, text: str = "text", doc: str = "doc_id", hot
     whole = _repeated_texts(rows)
     n = whole.count()
     whole = F.broadcast(whole) if n <= BROADCAST_ROWS else whole
-    marked = rows.join(whole, ["_sx_a", "_sx_b"], "left")
+    told = rows.join(whole, ["_sx_a", "_sx_b"], "left")
     copy = F.coalesce(F.col("_sx_doc") > F.col("_sx_first"), F.lit(False))
-    own = marked.where(~copy & F.col("_sx_doc").isNotNull()).where(F.octet_length("_sx_text") >= LENGTH).select("_sx_doc", "_sx_a", "_sx_text")
+    own = told.where(~copy & F.col("_sx_doc").isNotNull()).where(F.octet_length("_sx_text") >= LENGTH).select("_sx_doc", "_sx_a", "_sx_text")
     spans = materialise(_spans(own, hot_docs))
     pick = [F.col(f"`{c}`") for c in keep]
     none = F.lit(None).cast("array<struct<start:bigint,end:bigint>>")
     hit, rest = split(
-        marked.withColumn("_sx_copy", copy), F.xxhash64("_sx_doc"), spans.select(F.xxhash64("_sx_doc").alias("k")), "k", ID_BITS
+        told.withColumn("_sx_copy", copy), F.xxhash64("_sx_doc"), spans.select(F.xxhash64("_sx_doc").alias("k")), "k", ID_BITS
     )
     some = hit.join(spans, ["_sx_doc", "_sx_a"], "left").select(*pick, "_sx_text", "_sx_copy", F.col("_sx_spans"))
     out = some.unionByName(rest.select(*pick, "_sx_text", "_sx_copy", none.alias("_sx_spans")))
@@ -232,30 +240,25 @@ def _repeated_texts(rows: DataFrame) -> DataFrame:
 def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
     """Removed ranges (not merged) of every text that loses bytes."""
 
-    def found(batches, *sieves: np.ndarray):
-        """Anchors of every text whose gram is in all sieves, with a key of the bytes their windows cover."""
+    def found(batch, *sieves: np.ndarray):
+        """Anchors of every text whose gram is in all sieves."""
         tables = powers()
-        for b in batches:
-            for d, a, t in zip(b.column("_sx_doc").to_pylist(), b.column("_sx_a").to_pylist(), raw_texts(b.column("_sx_text"))):
-                h, pos, first, last = anchors(t, tables)
-                for v in sieves:
-                    ok = may_hold(v, h)
-                    h, pos, first, last = h[ok], pos[ok], first[ok], last[ok]
-                left = pos - first
-                around = [t[i:j] for i, j in zip(first.tolist(), (last + LENGTH).tolist())]
-                keys = np.fromiter(
-                    (xxhash.xxh3_64_intdigest(c, k) for c, k in zip(around, left.tolist())), dtype=np.uint64, count=len(around)
-                ).view(np.int64)
-                yield d, a, h, keys, pos, left, pos - last, around
+        for d, a, t in zip(batch.column("_sx_doc").to_pylist(), batch.column("_sx_a").to_pylist(), raw_texts(batch.column("_sx_text"))):
+            cols = keyed_anchors(t, tables)
+            for v in sieves:
+                ok = may_hold(v, cols[0])
+                cols = tuple(x[ok] for x in cols)
+            h, pos, first, last, keys = cols
+            yield d, a, t, h, keys, pos, first, last
+
+    def columns(rows, width: int) -> list[np.ndarray]:
+        """Rows of arrays joined to one array per column."""
+        held = list(rows)
+        return [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, dtype=np.int64)] * width
 
     def grams(batches):
         for b in slices(batches, 1024):
-            hs, cs, ids = [], [], []
-            for d, _, h, keys, *_ in found([b]):
-                hs.append(h)
-                cs.append(keys)
-                ids.append(np.full(len(h), d, dtype=np.int64))
-            yield _collapsed(*(np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (hs, cs, ids)))
+            yield _collapsed(*columns(((h, keys, np.full(len(h), d, dtype=np.int64)) for d, _, _, h, keys, *_ in found(b)), 3))
 
     # a gram in one document only is no candidate; one with the same bytes around it everywhere is settled by its first document
     seen = materialise(own.mapInArrow(grams, "h bigint, c bigint, doc bigint, n int").repartition("h").groupBy("h").agg(
@@ -265,32 +268,39 @@ def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
     mixed = collected(seen.where("several"), "h", SIEVE_BITS)
     hot = collected(seen.where(F.col("several") & (F.col("n") > hot_docs)), "h", HOT_BITS)
 
+    # anchors of these grams are spread over parts, as an occurrence of a common passage may stand in every document
+    frequent = seen.where(F.col("n") > hot_docs)
+    common_grams = collected(frequent, "h", HOT_BITS)
+
     def places(batches):
         for b in slices(batches, 256):
-            out = [[] for _ in range(5)]
-            for d, a, h, keys, pos, left, least, _ in found([b], known):
+            out = columns(
                 # the position and both limits of the offsets in one number
-                for held, x in zip(out, (h, keys, np.full(len(h), d, dtype=np.int64), np.full(len(h), a, dtype=np.int64), pos * 4096 + left * 64 + least)):
-                    held.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], names=["h", "c", "doc", "a", "at"])
+                ((h, keys, np.full(len(h), d, dtype=np.int64), np.full(len(h), a, dtype=np.int64), pos * 4096 + (pos - first) * 64 + pos - last)
+                 for d, a, _, h, keys, pos, first, last in found(b, known)), 5)
+            salt = np.where(may_hold(common_grams, out[0]), (out[2] ^ out[4] >> 12) % SALTS, 0)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*out, salt)], names=["h", "c", "doc", "a", "at", "salt"])
 
     def contexts(batches):
         for b in slices(batches, 1024):
+            texts = []
+
+            def gathered():
+                for d, _, t, h, keys, pos, first, last in found(b, mixed):
+                    yield h, keys, np.full(len(h), d, dtype=np.int64), np.full(len(h), len(texts), dtype=np.int64), pos, first, last
+                    texts.append(t)
+
+            h, c, doc, row, pos, first, last = columns(gathered(), 7)
             # copies of a context inside a batch are one row
-            held: dict[tuple[int, int], list] = {}
-            for d, _, h, keys, _, left, _, around in found([b], mixed):
-                for k, c, l, x in zip(h.tolist(), keys.tolist(), left.tolist(), around):
-                    row = held.get((k, c))
-                    if row is None:
-                        held[k, c] = [l, x, d, d]
-                    else:
-                        row[2] = min(row[2], d)
-                        row[3] = max(row[3], d)
-            h = np.fromiter((k for k, _ in held), dtype=np.int64, count=len(held))
-            c = np.fromiter((c for _, c in held), dtype=np.int64, count=len(held))
-            l, x, lo, hi = zip(*held.values()) if held else ((), (), (), ())
+            order = np.lexsort((c, h))
+            h, c, doc = h[order], c[order], doc[order]
+            at = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))) if len(h) else order
+            lo, hi = (f.reduceat(doc, at) if len(at) else at for f in (np.minimum, np.maximum))
+            one = order[at]
+            around = [texts[r][i:j] for r, i, j in zip(row[one].tolist(), first[one].tolist(), (last[one] + LENGTH).tolist())]
+            h, c, left = h[at], c[at], pos[one] - first[one]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(c), pa.array(l, pa.int64()), pa.array(x, pa.binary()), pa.array(lo, pa.int64()),
+                [pa.array(h), pa.array(c), pa.array(left, pa.int64()), pa.array(around, pa.binary()), pa.array(lo, pa.int64()),
                  pa.array(hi, pa.int64()), pa.array(np.where(may_hold(hot, h), c | 1, 0))],
                 names=["h", "c", "l", "x", "lo", "hi", "part"],
             )
@@ -298,19 +308,20 @@ def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
     # rows of a hot gram are spread, all others of a gram meet in one place
     dealt = own.mapInArrow(contexts, "h bigint, c bigint, l bigint, x binary, lo bigint, hi bigint, part bigint").repartition(
         "h", "part").sortWithinPartitions("part", "h", "c")
-    run = "array<struct<first:bigint,l_from:int,l_to:int>>"
-    solved = materialise(dealt.mapInArrow(_solved, f"h bigint, c bigint, runs {run}, hi bigint, w binary"))
-    whole = F.array(F.struct(F.col("first"), F.lit(0).alias("l_from"), F.lit(STEPS - 1).alias("l_to"))).cast(run)
-    windows = solved.where("w is null").select("h", "c", "runs").unionByName(
-        seen.where("not several").select("h", "c", whole.alias("runs"))
+    # one row per run of offsets
+    solved = materialise(dealt.mapInArrow(_solved, "h bigint, c bigint, first bigint, l_from int, l_to int, hi bigint, w binary"))
+    # all windows of an anchor hold its gram, so the ranges of several runs cover one range
+    windows = solved.where("w is null").select("h", "c", "first", "l_from", "l_to").unionByName(
+        seen.where("not several").select("h", "c", "first", F.lit(0).alias("l_from"), F.lit(STEPS - 1).alias("l_to"))
     ).unionByName(_grouped_windows(solved.where("w is not null")))
-    at = own.mapInArrow(places, "h bigint, c bigint, doc bigint, a bigint, at bigint")
-    # all windows of an anchor hold its gram, so those with an earlier document cover one range
-    earlier = F.filter("runs", lambda r: r["first"] < F.col("doc"))
-    hits = at.join(windows, ["h", "c"]).select("doc", "a", "at", earlier.alias("runs")).where("size(runs) > 0").select(
+    parts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    windows = marked(windows, F.col("h"), frequent, "h", HOT_BITS, "frequent").select(
+        "h", "c", "first", "l_from", "l_to", F.explode(F.when(F.col("frequent"), parts).otherwise(F.slice(parts, 1, 1))).alias("salt"))
+    at = own.mapInArrow(places, "h bigint, c bigint, doc bigint, a bigint, at bigint, salt bigint")
+    hits = at.join(windows, ["h", "c", "salt"]).where("first < doc").select(
         "doc", "a", F.shiftright("at", 12).alias("pos"),
-        F.least(F.array_max(F.transform("runs", lambda r: r["l_to"])), F.shiftright("at", 6).bitwiseAND(F.lit(63))).alias("before"),
-        F.greatest(F.array_min(F.transform("runs", lambda r: r["l_from"])), F.col("at").bitwiseAND(F.lit(63))).alias("after"),
+        F.least("l_to", F.shiftright("at", 6).bitwiseAND(F.lit(63))).alias("before"),
+        F.greatest("l_from", F.col("at").bitwiseAND(F.lit(63))).alias("after"),
     ).select("doc", "a", (F.col("pos") - F.col("before")).alias("start"), (F.col("pos") - F.col("after") + LENGTH).cast("bigint").alias("end"))
     dealt = hits.repartition("doc", "a").sortWithinPartitions("doc", "a", "start")
     return dealt.mapInArrow(_joined, "_sx_doc bigint, _sx_a bigint, _sx_spans array<struct<start:bigint,end:bigint>>")
@@ -356,11 +367,10 @@ def _collapsed(h: np.ndarray, c: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
 
 def _grouped_windows(each: DataFrame) -> DataFrame:
     """Windows of anchors in very many documents, grouped by their bytes with partial minima."""
-    each = each.select("h", "c", "hi", "w", F.inline("runs"))
     least = each.groupBy("h", "l_from", "w").agg(F.min("first").alias("least"))
-    found = each.join(least, ["h", "l_from", "w"]).where("least < hi")
-    # a context has no more of them than a window has offsets
-    return found.groupBy("h", "c").agg(F.collect_list(F.struct(F.col("least").alias("first"), "l_from", "l_to")).alias("runs"))
+    # one row per context and document, from its first to its last offset
+    return each.join(least, ["h", "l_from", "w"]).where("least < hi").groupBy("h", "c", F.col("least").alias("first")).agg(
+        F.min("l_from").alias("l_from"), F.max("l_to").alias("l_to"))
 
 
 def _solved(batches):
@@ -387,18 +397,24 @@ def _solved(batches):
 
 
 def _exploded(b: pa.RecordBatch) -> pa.RecordBatch:
-    rows = []
-    for h, c, l, x, lo, hi in zip(*(b.column(k).to_pylist() for k in ("h", "c", "l", "x", "lo", "hi"))):
-        rows += [(h, c, [{"first": lo, "l_from": o, "l_to": o}], hi, x[l - o:l - o + LENGTH]) for o in range(max(0, l + LENGTH - len(x)), l + 1)]
-    cols = zip(*rows) if rows else [()] * 5
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(v), k) for v, k in zip(cols, (pa.int64(), pa.int64(), _run_type(), pa.int64(), pa.binary()))],
-        names=["h", "c", "runs", "hi", "w"],
-    )
+    """Windows of the contexts of hot grams; rows of one context stand together and count once."""
+    h, c, lo, hi = (b.column(k).to_numpy() for k in ("h", "c", "lo", "hi"))
+    at = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1]))))
+    lo, hi = np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at)
+    one = b.take(pa.array(at))
+    left, x = one.column("l").to_numpy(), one.column("x").to_pylist()
+    least = np.maximum(0, left + LENGTH - np.array([len(v) for v in x], dtype=np.int64))
+    n = left - least + 1
+    row = np.repeat(np.arange(len(at)), n)
+    offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + least[row]
+    w = [x[i][j:j + LENGTH] for i, j in zip(row.tolist(), (left[row] - offset).tolist())]
+    return _runs_batch(h[at][row], c[at][row], lo[row], offset, offset, hi[row], pa.array(w, pa.binary()))
 
 
-def _run_type() -> pa.DataType:
-    return pa.list_(pa.struct([("first", pa.int64()), ("l_from", pa.int32()), ("l_to", pa.int32())]))
+def _runs_batch(h, c, first, l_from, l_to, hi, w: pa.Array) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+    cols = [pa.array(x, k) for x, k in zip((h, c, first, l_from, l_to, hi), kinds)]
+    return pa.RecordBatch.from_arrays([*cols, w], names=["h", "c", "first", "l_from", "l_to", "hi", "w"])
 
 
 def _sorted_windows(batches):
@@ -454,16 +470,7 @@ def _windows(t: pa.Table) -> pa.RecordBatch:
     value = first[row, start]
     ok = value != _FAR
     row, start, end, value = row[ok], start[ok], end[ok], value[ok]
-    at = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else np.zeros(0, dtype=np.int64)
-    each = pa.StructArray.from_arrays(
-        [pa.array(value, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32())], names=["first", "l_from", "l_to"]
-    )
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate((at, [len(row)])), pa.int32()), each)
-    keep = row[at]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(h[keep]), pa.array(c[keep]), lists.cast(_run_type()), pa.array(hi[keep]), pa.nulls(len(keep), pa.binary())],
-        names=["h", "c", "runs", "hi", "w"],
-    )
+    return _runs_batch(h[row], c[row], value, start, end, hi[row], pa.nulls(len(row), pa.binary()))
 
 
 def _cut(rows: DataFrame, keep: list[str]) -> DataFrame:
