@@ -78,6 +78,44 @@ def test_silhouette(spark, copies, block):
     assert got["silhouette"].between(-1, 1).all()
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_are_not_shuffled_and_vectors_stay_off_the_driver(spark):
+    df = frame(spark, vectors(120), cluster=np.arange(120) % 3)
+    joined = plan_of(neighbors.knn_join(df, df, 4, exclude_self=True, block_rows=16))
+    assert "CartesianProduct" in joined and "BroadcastHashJoin" not in joined
+    scored = plan_of(cluster.silhouette_samples(df, "id", block_rows=16))
+    assert "CartesianProduct" in scored and "BroadcastHashJoin" not in scored
+    label = df.withColumn("label", (F.col("cluster") == 0).cast("int"))
+    made = plan_of(balance.smote_rows(label, "id", "vec", "label", ratio=0.9, k=3, block_rows=16))
+    assert all("vec#" not in line and "near#" not in line for line in made.split("\n") if "BroadcastExchange" in line)
+    assert made.count("SortMergeJoin") > joined.count("SortMergeJoin")
+
+
+def test_silhouettes_of_several_clusterings(spark):
+    x = vectors(120, copies=0.3)
+    a, b = np.arange(120) % 4, np.arange(120) % 3
+    a[7] = 9  # a cluster of one
+    rows = [(i, [float(v) for v in r], int(a[i]), None if i % 11 == 5 else f"g{b[i]}") for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, a long, b string")
+    got = cluster.silhouettes(df, "id", ["a", "b"], block_rows=16, prefix="").toPandas().sort_values("id")
+    assert np.allclose(got["a"], silhouettes(x, a))
+    known = np.arange(120) % 11 != 5
+    assert np.allclose(got["b"][known], silhouettes(x[known], b[known])) and got["b"][~known].isna().all()
+
+
+def test_text_ids_break_ties(spark):
+    x = [0.0, 1.0, 1.0, -1.0, 2.0]
+    df = spark.createDataFrame([(k, [v]) for k, v in zip("cadbe", x)], "id string, vec array<double>")
+    got = neighbors.knn_join(df, df, 2, exclude_self=True, block_rows=2)
+    near = {}
+    for r in got.orderBy("id", "rank").collect():
+        near.setdefault(r["id"], []).append(r["neighbor_id"])
+    assert near == {"c": ["a", "b"], "a": ["d", "c"], "d": ["a", "c"], "b": ["c", "a"], "e": ["a", "d"]}
+
+
 def test_lof_with_small_blocks(spark):
     x = vectors(150)
     got = anomaly.lof_scores(frame(spark, x), "id", k=6, block_rows=16).toPandas().sort_values("id")
