@@ -99,3 +99,13 @@ def test_registered_fits_are_whole(spark, monkeypatch):
     assert args[4].keys() == defaults.CLASSIFICATION_GRIDS.keys() and kwargs["weight"] == "weight"
     assert len(args[4]["boosting_depthwise"]["positive"]) == 3
     assert calls["sample_then_full"][1]["names"] == models.REGRESSORS
+
+
+def test_distinct_laps_take_tasks_by_rows(spark):
+    from paceframe.plans import laps
+
+    rows = [(i % 7, None if i % 5 == 0 else float(i % 3), "x") for i in range(100)] + [(1, -0.0, "x"), (1, 0.0, "x")]
+    df = spark.createDataFrame(rows, "a int, b double, c string")
+    few = laps.distinct_rows(df, 10)
+    assert sorted(map(str, few.collect())) == sorted(map(str, df.dropDuplicates().collect()))
+    assert few.rdd.getNumPartitions() == 11
