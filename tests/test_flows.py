@@ -109,3 +109,18 @@ def test_distinct_laps_take_tasks_by_rows(spark):
     few = laps.distinct_rows(df, 10)
     assert sorted(map(str, few.collect())) == sorted(map(str, df.dropDuplicates().collect()))
     assert few.rdd.getNumPartitions() == 11
+
+
+def test_a_sweep_takes_distances_once(spark, monkeypatch):
+    from paceframe.operators import cluster
+    from paceframe.plans import segments
+
+    rows = [(i, [float(i % 9), float(i * i % 17)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>")
+    asked, own = [], cluster.cluster_silhouettes
+    monkeypatch.setattr(cluster, "cluster_silhouettes", lambda *a, **k: asked.append(a[3]) or own(*a, **k))
+    got = {r["k"]: r["silhouette"] for r in segments.sweep(df, "id", (2, 3), restarts=2).collect()}
+    both = {r["method"]: r["silhouette"] for r in segments.hierarchical_check(df, "id", 3).collect()}
+    assert [len(a) for a in asked] == [2, 2] and all(-1 <= s <= 1 for s in [*got.values(), *both.values()])
+    model = segments.fit_kmeans(df, 3, restarts=2)
+    assert abs(cluster.silhouette(segments.label_rows(model, df), "id").first()["silhouette"] - got[3]) < 1e-12
