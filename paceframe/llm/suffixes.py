@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import merged, raw_texts, runs, slices
-from .sieve import collected, marked, may_hold, split
+from .sieve import collected, may_hold, split
 from .text import mix
 from .store import materialise
 
@@ -30,12 +30,12 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 SIEVE_BITS = 1 << 26  # a bitmap of 8 MB
 HOT_BITS = 1 << 20
 ID_BITS = 1 << 22
-#: Anchors in more documents go by grouped windows, as their suffixes would fill a task.
+#: The anchors of a gram that has more are spread; if it has more contexts too, they go by grouped windows, as their suffixes would fill a task.
 HOT_DOCS = 16384
+#: Runs of window offsets of a context, with the smallest document that holds them and the largest of the context.
+RUNS = "h bigint, c bigint, first bigint, l_from int, l_to int, hi bigint, w binary"
 #: Rows of a table of repeated texts up to which it is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 500_000
-#: Parts of the anchors of a gram that has over HOT_DOCS of them.
-SALTS = 64
 _FAR = np.iinfo(np.int64).max
 
 
@@ -268,18 +268,13 @@ def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
     mixed = collected(seen.where("several"), "h", SIEVE_BITS)
     hot = collected(seen.where(F.col("several") & (F.col("n") > hot_docs)), "h", HOT_BITS)
 
-    # anchors of these grams are spread over parts, as an occurrence of a common passage may stand in every document
-    frequent = seen.where(F.col("n") > hot_docs)
-    common_grams = collected(frequent, "h", HOT_BITS)
-
     def places(batches):
         for b in slices(batches, 256):
             out = columns(
                 # the position and both limits of the offsets in one number
                 ((h, keys, np.full(len(h), d, dtype=np.int64), np.full(len(h), a, dtype=np.int64), pos * 4096 + (pos - first) * 64 + pos - last)
                  for d, a, _, h, keys, pos, first, last in found(b, known)), 5)
-            salt = np.where(may_hold(common_grams, out[0]), (out[2] ^ out[4] >> 12) % SALTS, 0)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*out, salt)], names=["h", "c", "doc", "a", "at", "salt"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["h", "c", "doc", "a", "at"])
 
     def contexts(batches):
         for b in slices(batches, 1024):
@@ -305,20 +300,18 @@ def _spans(own: DataFrame, hot_docs: int) -> DataFrame:
                 names=["h", "c", "l", "x", "lo", "hi", "part"],
             )
 
-    # rows of a hot gram are spread, all others of a gram meet in one place
+    # rows of a hot gram are spread and its contexts counted once, all others of a gram meet in one place
     dealt = own.mapInArrow(contexts, "h bigint, c bigint, l bigint, x binary, lo bigint, hi bigint, part bigint").repartition(
         "h", "part").sortWithinPartitions("part", "h", "c")
-    # one row per run of offsets
-    solved = materialise(dealt.mapInArrow(_solved, "h bigint, c bigint, first bigint, l_from int, l_to int, hi bigint, w binary"))
+    # one row per run of offsets, or per context of a hot gram
+    solved = materialise(dealt.mapInArrow(_solved, RUNS))
     # all windows of an anchor hold its gram, so the ranges of several runs cover one range
     windows = solved.where("w is null").select("h", "c", "first", "l_from", "l_to").unionByName(
         seen.where("not several").select("h", "c", "first", F.lit(0).alias("l_from"), F.lit(STEPS - 1).alias("l_to"))
-    ).unionByName(_grouped_windows(solved.where("w is not null")))
-    parts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    windows = marked(windows, F.col("h"), frequent, "h", HOT_BITS, "frequent").select(
-        "h", "c", "first", "l_from", "l_to", F.explode(F.when(F.col("frequent"), parts).otherwise(F.slice(parts, 1, 1))).alias("salt"))
-    at = own.mapInArrow(places, "h bigint, c bigint, doc bigint, a bigint, at bigint, salt bigint")
-    hits = at.join(windows, ["h", "c", "salt"]).where("first < doc").select(
+    ).unionByName(_hot_windows(solved.where("w is not null"), hot_docs))
+    # a common passage may stand in every document: contexts part the anchors of its grams, and AQE splits what one context has too many of
+    at = own.mapInArrow(places, "h bigint, c bigint, doc bigint, a bigint, at bigint")
+    hits = at.join(windows, ["h", "c"]).where("first < doc").select(
         "doc", "a", F.shiftright("at", 12).alias("pos"),
         F.least("l_to", F.shiftright("at", 6).bitwiseAND(F.lit(63))).alias("before"),
         F.greatest("l_from", F.col("at").bitwiseAND(F.lit(63))).alias("after"),
@@ -365,8 +358,16 @@ def _collapsed(h: np.ndarray, c: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), k) for x, k in zip(cols, kinds)], names=["h", "c", "doc", "n"])
 
 
+def _hot_windows(contexts: DataFrame, hot_docs: int) -> DataFrame:
+    """Runs of offsets of grams with very many anchors: those of few contexts are sorted like all others, the rest go by grouped windows."""
+    rows = contexts.select("h", "c", F.col("first").alias("lo"), "hi", F.col("l_from").cast("bigint").alias("l"), F.col("w").alias("x"))
+    many = rows.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > hot_docs).select("h")
+    few = rows.join(many, "h", "left_anti").repartition("h").sortWithinPartitions("h", "c").mapInArrow(_sorted_windows, RUNS)
+    return few.select("h", "c", "first", "l_from", "l_to").unionByName(_grouped_windows(rows.join(many, "h", "left_semi").mapInArrow(_exploded, RUNS)))
+
+
 def _grouped_windows(each: DataFrame) -> DataFrame:
-    """Windows of anchors in very many documents, grouped by their bytes with partial minima."""
+    """Windows of grams of very many contexts, grouped by their bytes with partial minima."""
     least = each.groupBy("h", "l_from", "w").agg(F.min("first").alias("least"))
     # one row per context and document, from its first to its last offset
     return each.join(least, ["h", "l_from", "w"]).where("least < hi").groupBy("h", "c", F.col("least").alias("first")).agg(
@@ -374,7 +375,7 @@ def _grouped_windows(each: DataFrame) -> DataFrame:
 
 
 def _solved(batches):
-    """Cold grams sorted; each window of a hot one as a row of its own with its bytes."""
+    """Cold grams sorted; each context of a hot one as a row with its bytes, both offsets the bytes before the gram."""
     import itertools
 
     def cold(items):
@@ -385,7 +386,9 @@ def _solved(batches):
                 b = b.filter(pa.array(part == 0))
             yield b
             while hot:
-                out.append(_exploded(hot.pop()))
+                one, h, c, lo, hi = _contexts(hot.pop())
+                left = one.column("l")
+                out.append(_runs_batch(h, c, lo, left.to_numpy(), left.to_numpy(), hi, one.column("x")))
 
     hot: list[pa.RecordBatch] = []
     out: list[pa.RecordBatch] = []
@@ -396,19 +399,24 @@ def _solved(batches):
             yield b
 
 
-def _exploded(b: pa.RecordBatch) -> pa.RecordBatch:
-    """Windows of the contexts of hot grams; rows of one context stand together and count once."""
+def _contexts(b):
+    """One row per context of rows in which each stands together, its gram and key, and its extreme documents."""
     h, c, lo, hi = (b.column(k).to_numpy() for k in ("h", "c", "lo", "hi"))
     at = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1]))))
-    lo, hi = np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at)
-    one = b.take(pa.array(at))
-    left, x = one.column("l").to_numpy(), one.column("x").to_pylist()
-    least = np.maximum(0, left + LENGTH - np.array([len(v) for v in x], dtype=np.int64))
-    n = left - least + 1
-    row = np.repeat(np.arange(len(at)), n)
-    offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + least[row]
-    w = [x[i][j:j + LENGTH] for i, j in zip(row.tolist(), (left[row] - offset).tolist())]
-    return _runs_batch(h[at][row], c[at][row], lo[row], offset, offset, hi[row], pa.array(w, pa.binary()))
+    return b.take(pa.array(at)), h[at], c[at], np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at)
+
+
+def _exploded(batches):
+    """Windows of contexts, each as a row with its bytes."""
+    for b in slices(batches, 8192):
+        one, h, c, lo, hi = _contexts(b)
+        left, x = one.column("l").to_numpy(), one.column("x").to_pylist()
+        least = np.maximum(0, left + LENGTH - np.array([len(v) for v in x], dtype=np.int64))
+        n = left - least + 1
+        row = np.repeat(np.arange(len(h)), n)
+        offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + least[row]
+        w = [x[i][j:j + LENGTH] for i, j in zip(row.tolist(), (left[row] - offset).tolist())]
+        yield _runs_batch(h[row], c[row], lo[row], offset, offset, hi[row], pa.array(w, pa.binary()))
 
 
 def _runs_batch(h, c, first, l_from, l_to, hi, w: pa.Array) -> pa.RecordBatch:
@@ -421,7 +429,7 @@ def _sorted_windows(batches):
     """Runs of window offsets with the smallest document, of contexts sorted by gram and key.
 
     Whole grams are gathered up to some thousand rows; a gram has no more rows
-    than documents, and hot grams do not come here.
+    than documents, and hot grams of many contexts do not come here.
     """
     held, rows = [], 0
     for b in batches:
@@ -444,12 +452,8 @@ def _sorted_windows(batches):
 
 
 def _windows(t: pa.Table) -> pa.RecordBatch:
-    h, c, lo, hi = (t.column(k).to_numpy() for k in ("h", "c", "lo", "hi"))
-    new = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
-    at = np.flatnonzero(new)
-    lo, hi = np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at)
-    t = t.take(pa.array(at))
-    h, c, left = h[at], c[at], t.column("l").to_numpy().astype(np.int64)
+    t, h, c, lo, hi = _contexts(t)
+    left = t.column("l").to_numpy().astype(np.int64)
     x = t.column("x").to_pylist()
     size = np.array([len(v) for v in x], dtype=np.int64)
     group = np.cumsum(np.concatenate(([True], h[1:] != h[:-1])))

@@ -84,3 +84,27 @@ def test_anchors_cover_every_window_once():
     windows = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)])
     assert windows.tolist() == list(range(len(text) - suffixes.LENGTH + 1))
     assert ((pos >= last) & (pos - first <= suffixes.STEPS - 1)).all()
+
+
+def test_common_passages_multiply_no_rows(spark, monkeypatch):
+    rng = random.Random(8)
+    prose = lambda k: "".join(rng.choice("abcdefghij ") for _ in range(k))
+    passage, edges = prose(200), [prose(60) for _ in range(3)]
+    rows = [(i, prose(80) + edges[i % 3] + passage + edges[i % 2] + prose(80)) for i in range(60)]
+    plain, grouped, plans, crowded, exploded = suffixes.materialise, suffixes._grouped_windows, [], [], []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        out = plain(df)
+        if "w" in out.columns:
+            crowded.append(out.where("w is not null").count())
+        return out
+
+    monkeypatch.setattr(suffixes, "materialise", kept)
+    monkeypatch.setattr(suffixes, "_grouped_windows", lambda each: (exploded.append(each.count()), grouped(each))[1])
+    got = suffixes.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), hot_docs=40).collect()
+    have = {r["doc_id"]: (r["n_bytes"], sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), brute.sha(bytes(r["kept"]))) for r in got}
+    assert have == brute.suffixes(rows)
+    # grams in over 40 documents with several contexts, but few
+    assert crowded[0] > 0 and exploded == [0]
+    assert not any("Generate" in p for p in plans)
