@@ -17,17 +17,18 @@ from __future__ import annotations
 import hashlib
 import json
 import posixpath
-import re
 import struct
 import sys
 import types
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,16 +36,18 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from ..session import scratch_folder
 from . import token_codec
-from .arrow import slices
 from .store import materialise
 
 FORMAT = "token_files"
 MAGIC = b"TOKIDS01"
 HEADER = "<QQQQI"  # documents, ids, control bytes, data bytes, checksum
 END_ID = 0  # follows each document
-BATCH_ROWS = 64  # texts that a task tokenises at once
+BATCH_BYTES = 1 << 22  # of the texts that a task tokenises at once; a longer one goes alone
+COUNT_ROWS = 64  # documents whose ids a task counts at once
 BLOCK_IDS = 1 << 20  # ids of a block at least, but for the last of a file
 FILE_IDS = 1 << 27  # a file is closed at the first block that reaches this
+#: what byte-level vocabularies write for the 256 bytes
+BYTES = {chr(c) for c in (*range(33, 127), *range(161, 173), *range(174, 324))}
 PACKED = "part int, seq bigint, doc_id bigint, n bigint, ids binary"
 ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
 
@@ -69,82 +72,208 @@ def _write(system: fs.FileSystem, path: str, data: bytes) -> None:
 # ---- tokenising and ranks
 
 class WholeCoder:
-    """Ids of whole texts, packed to bytes."""
+    """Ids of whole texts, each text an item of the library's call."""
+
+    ITEMS = 64  # items of a call
 
     def __init__(self, tool, kind: np.dtype):
         self.tool, self.kind = tool, kind
 
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each text, and the ids of all texts one after the other."""
+        return self._items(lambda i, j: texts.slice(i, j - i).to_pylist(), len(texts))
+
+    def _items(self, items: Callable[[int, int], list[str]], count: int) -> tuple[np.ndarray, np.ndarray]:
+        sizes, ids = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=self.kind)]
+        for i in range(0, count, self.ITEMS):
+            found = [e.ids for e in self.tool.encode_batch_fast(items(i, min(i + self.ITEMS, count)), add_special_tokens=False)]
+            sizes.append(np.array([len(x) for x in found], dtype=np.int64))
+            ids += [np.array(x, dtype=self.kind) for x in found]
+        return np.concatenate(sizes), np.concatenate(ids)
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tool.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
+        sizes, ids = self.column(pa.array(texts, pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(sizes))[:-1]]
+
+
+def _kept(key: str, make: Callable):
+    """What an earlier task of this worker process made under a key, or what ``make`` makes now."""
+    shelf = sys.modules.setdefault("_token_pieces", types.ModuleType("_token_pieces")).__dict__  # outlives the task
+    if key not in shelf:
+        shelf[key] = make()
+    return shelf[key]
+
+
+@dataclass
+class Known:
+    """Pieces by number with their ids, all in one array, and the bytes of each id of the vocabulary."""
+
+    width: np.ndarray
+    number: dict[bytes, int]
+    starts: np.ndarray
+    sizes: np.ndarray
+    ids: np.ndarray
+
+    @classmethod
+    def of(cls, tool, kind: np.dtype) -> Known:
+        vocabulary = tool.get_vocab()
+        width = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        width[list(vocabulary.values())] = [len(token) for token in vocabulary]  # a byte-level token has a character a byte
+        return cls(width, {}, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=kind))
+
+    def add(self, pieces: list[bytes], found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        """Starts, sizes and ids of new pieces in their order, part by part."""
+        base = len(self.ids) + np.cumsum([0, *(len(ids) for _, _, ids in found)])
+        self.starts = np.concatenate((self.starts, *(first + b for (first, _, _), b in zip(found, base))))
+        self.sizes = np.concatenate((self.sizes, *(sizes for _, sizes, _ in found)))
+        self.ids = np.concatenate((self.ids, *(ids for _, _, ids in found)))
+        self.number.update(zip(pieces, range(len(self.number), len(self.starts))))
+
+    def clear(self) -> None:
+        self.number, self.starts, self.sizes, self.ids = {}, self.starts[:0], self.sizes[:0], self.ids[:0]
 
 
 class PieceCoder(WholeCoder):
     """The same ids from remembered pieces, for byte-level vocabularies with the usual word pattern.
 
-    That pattern always cuts before a space between two characters that are no white
-    space, so the pieces between such places encode on their own. An unknown piece of
-    ASCII is cut further by the pattern; any other goes to the library as it is, whose
-    tables of letters need not be those of this process. A worker process keeps what it
-    knows from task to task, ``LIMIT`` pieces at most.
+    That pattern always cuts at the places of ``_cuts``, so the pieces between such places
+    encode on their own. A batch's different pieces are looked up once. Unknown ones go to
+    the library in long texts, in which the pattern cuts between them as well; a token's
+    number of bytes then tells whose it is. What is white space or a letter beyond Latin-1
+    need not be known here: there are no cuts where that decides. A worker process keeps
+    what it knows from task to task and forgets it all beyond ``LIMIT`` pieces or ``IDS`` ids.
     """
 
     LIMIT = 1 << 20
-    PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\s0-9A-Za-z]+|\s+(?!\S)|\s+", re.ASCII)
-    UNEVEN = re.compile(r" \s|\s |^ | $")  # a space beside white space or at an end
-    # re.ASCII leaves these out of white space as the library does
-    NOT_PLAIN = re.compile(r"[\x1c-\x1f]")
+    IDS = 1 << 24
+    JOINED = 4096  # pieces of one text
+    LETTER = np.array([chr(c).isalpha() for c in range(128)] + [False] * 128)
+    MARK = np.array([33 <= c < 127 and not chr(c).isalnum() for c in range(256)])
+    OPEN = MARK & (np.arange(256) != ord("'"))  # a letter may belong to an apostrophe before it
+    FIRM = np.array([33 <= c < 127 or c >= 128 for c in range(256)])  # but for what _firm takes out
 
     def __init__(self, tool, kind: np.dtype, key: str):
         super().__init__(tool, kind)
-        shelf = sys.modules.setdefault("_token_pieces", types.ModuleType("_token_pieces"))  # outlives the task
-        self.known: dict[str, bytes] = shelf.__dict__.setdefault(key, {})
+        self.known = _kept(f"pieces {key}", lambda: Known.of(tool, kind))
+
+    @classmethod
+    def _firm(cls, raw: np.ndarray) -> np.ndarray:
+        """Bytes of characters that are surely no white space, whatever the tables of letters."""
+        firm = cls.FIRM[raw]
+        lead = np.flatnonzero((raw == 0xC2) | (raw >= 0xE1) & (raw <= 0xE3))
+        first, second = raw[lead], raw.take(lead + 1, mode="clip")
+        white = (first == 0xC2) & ((second == 0x85) | (second == 0xA0)) | (first == 0xE1) & (second == 0x9A)
+        white |= (first == 0xE2) & ((second == 0x80) | (second == 0x81)) | (first == 0xE3) & (second == 0x80)
+        for k in range(3):
+            firm[np.minimum(lead[white] + k, len(raw) - 1)] = False
+        return firm
+
+    @classmethod
+    def _cuts(cls, raw: np.ndarray) -> np.ndarray:
+        """Marks of bytes before which the pattern cuts.
+
+        These are a space and a line end, each between two characters that are no white
+        space, the character after such a line end, an ASCII mark after a letter, and an
+        ASCII letter after a mark other than an apostrophe.
+        """
+        cut = np.zeros(len(raw), dtype=bool)
+        firm = cls._firm(raw)
+        inner = raw[1:-1]
+        between = firm[:-2] & firm[2:]
+        line = between & (inner == 10)
+        cut[1:-1] = between & (inner == 32) | line
+        cut[2:] |= line
+        letter = cls.LETTER[raw]
+        lead = np.flatnonzero(raw[:-1] == 0xC3)  # Latin-1: all letters but two signs
+        letter[lead + 1] = (raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)
+        cut[1:] |= letter[:-1] & cls.MARK[raw[1:]] | cls.OPEN[raw[:-1]] & cls.LETTER[raw[1:]]
+        return cut
 
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        if not PieceCoder.UNEVEN.search(text):
-            first, *rest = text.split(" ")
-            return [first, *[" " + word for word in rest]]
-        out: list[str] = []
-        cut = False  # whether the last piece ends in no white space
-        for word in text.split(" "):
-            plain = bool(word) and not word[0].isspace()
-            if not out:
-                out.append(word)
-            elif cut and plain:
-                out.append(" " + word)
-            else:
-                out[-1] += " " + word
-            cut = bool(word) and not word[-1].isspace()
-        return out
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Look up all pieces in one call of the library; ASCII ones by their parts."""
-        parts = {p: self.PATTERN.findall(p) if p.isascii() and not self.NOT_PLAIN.search(p) else [p] for p in pieces}
-        new = list(dict.fromkeys(x for own in parts.values() for x in own if x not in self.known))
-        self.known.update(zip(new, super().encode(new)))
-        for piece, own in parts.items():
-            if len(own) != 1:
-                self.known[piece] = b"".join(map(self.known.__getitem__, own))
+    def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all texts one after the other, and where each begins and the last ends."""
+        texts = texts.cast(pa.large_binary())
+        _, at, data = texts.buffers()
+        at = np.frombuffer(at, dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, dtype=np.int64)
+        raw = np.frombuffer(data, dtype=np.uint8)[at[0]:at[-1]] if data else np.zeros(0, dtype=np.uint8)
+        return raw, at - at[0]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            pieces = self.pieces(text)
-            if len(self.known) > self.LIMIT:
-                self.known.clear()
-            if new := [p for p in dict.fromkeys(pieces) if p not in self.known]:
-                self._learn(new)
-            out.append(b"".join(map(self.known.__getitem__, pieces)))
-        return out
+    @classmethod
+    def _pieces(cls, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All pieces in order, none of them empty, and the number of the first of each text and after the last."""
+        raw, at = cls._bytes(texts)
+        if not len(raw):
+            return pa.array([], pa.large_binary()), np.zeros(len(at), dtype=np.int64)
+        cut = np.append(cls._cuts(raw), True)
+        cut[at] = True
+        ends = np.flatnonzero(cut)
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+        return found, np.searchsorted(ends, at)
+
+    @staticmethod
+    def pieces(text: str) -> list[str]:
+        return [p.decode() for p in PieceCoder._pieces(pa.array([text], pa.string()))[0].to_pylist()]
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Look up all pieces, joined where the pattern cuts between them and one by one elsewhere."""
+        lengths = np.array([len(p) for p in pieces])
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        raw = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        firm = self._firm(raw)
+        closed = firm[ends - 1]
+        spaced = closed & (raw[starts] == 32) & firm[np.minimum(starts + 1, len(raw) - 1)]
+        plain = closed & firm[starts]
+        order: list[bytes] = []
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for chosen, glue in ((spaced, b""), (plain, b"\n")):
+            own = [pieces[i] for i in np.flatnonzero(chosen).tolist()]
+            found += [self._joined(own[i:i + self.JOINED], glue) for i in range(0, len(own), self.JOINED)]
+            order += own
+        alone = [pieces[i] for i in np.flatnonzero(~spaced & ~plain).tolist()]
+        sizes, ids = self._items(lambda i, j: [p.decode() for p in alone[i:j]], len(alone))
+        self.known.add([*order, *alone], [*found, (np.cumsum(sizes) - sizes, sizes, ids)])
+
+    def _joined(self, pieces: list[bytes], glue: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each piece's ids begin, how many they are, and the ids of all pieces, those of ``glue`` among them."""
+        [text] = self.tool.encode_batch_fast([glue.join(pieces).decode()], add_special_tokens=False)
+        ids = np.array(text.ids, dtype=self.kind)
+        at = np.append(0, np.cumsum(self.known.width[ids]))
+        lengths = np.array([len(p) for p in pieces])
+        ends = np.cumsum(lengths + len(glue)) - len(glue)
+        first, last = np.searchsorted(at, ends - lengths), np.searchsorted(at, ends)
+        if at[-1] != ends[-1] or (at[first] != ends - lengths).any() or (at[last] != ends).any():
+            raise ValueError("a token spans two pieces")
+        return first, last - first, ids
+
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        pieces, at = self._pieces(texts)
+        known = self.known
+        if len(known.number) > self.LIMIT or len(known.ids) > self.IDS:
+            known.clear()
+        numbered = pieces.dictionary_encode()
+        different = numbered.dictionary.to_pylist()
+        slots = np.fromiter(map(known.number.get, different, repeat(-1)), dtype=np.int64, count=len(different))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            unknown = [different[i] for i in new.tolist()]
+            self._learn(unknown)
+            slots[new] = [known.number[p] for p in unknown]
+        slots = slots[numbered.indices.to_numpy()]
+        sizes = known.sizes[slots]
+        ends = np.append(0, np.cumsum(sizes))
+        ids = known.ids[np.repeat(known.starts[slots] - ends[:-1], sizes) + np.arange(ends[-1])]
+        return np.diff(ends[at]), ids
 
 
 def cuts_at_spaces(description: str) -> bool:
     """Whether a tokenizer file describes a byte-level vocabulary that ``PieceCoder`` may take apart."""
     d = json.loads(description)
     pre = d.get("pre_tokenizer") or {}
+    model = d["model"]
     return (
-        d["model"]["type"] == "BPE" and not d["model"].get("dropout") and not any(d.get(k) for k in ("normalizer", "truncation", "padding"))
+        model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        and BYTES <= model["vocab"].keys() and not any(d.get(k) for k in ("normalizer", "truncation", "padding"))
         and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         and all(t["special"] for t in d.get("added_tokens", []))
     )
@@ -172,19 +301,23 @@ def tokenise(docs: DataFrame, vocabulary: str, doc: str, text: str, end: int | N
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the cores
         from tokenizers import Tokenizer
 
-        tool = Tokenizer.from_str(description)
+        tool = _kept(f"tool {key}", lambda: Tokenizer.from_str(description))
         tool.encode_special_tokens = special_as_text
         kind = np.dtype("<u2" if tool.get_vocab_size() <= 1 << 16 else "<u4")
         coder = PieceCoder(tool, kind, key) if in_pieces else WholeCoder(tool, kind)
-        tail = np.array([] if end is None else [end], dtype=kind).tobytes()
         seq = 0
-        for b in slices(batches, BATCH_ROWS):
-            ids = [x + tail for x in coder.encode(b.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([
-                b.column("part"), pa.array(np.arange(seq, seq + len(ids))), b.column("doc_id"),
-                pa.array([len(x) // kind.itemsize for x in ids], pa.int64()), pa.array(ids, pa.binary()),
-            ], names=["part", "seq", "doc_id", "n", "ids"])
-            seq += len(ids)
+        for b in batches:
+            for i, j in _windows(pc.binary_length(b.column("text")).to_numpy(), BATCH_BYTES):
+                sizes, ids = coder.column(b.column("text").slice(i, j - i))
+                if end is not None:
+                    ids = np.insert(ids, np.cumsum(sizes), end)
+                    sizes = sizes + 1
+                at = pa.array(np.append(0, np.cumsum(sizes)) * kind.itemsize, pa.int32())
+                yield pa.RecordBatch.from_arrays([
+                    b.column("part").slice(i, j - i), pa.array(np.arange(seq, seq + j - i)), b.column("doc_id").slice(i, j - i),
+                    pa.array(sizes, pa.int64()), pa.BinaryArray.from_buffers(pa.binary(), j - i, [None, at.buffers()[1], pa.py_buffer(ids)]),
+                ], names=["part", "seq", "doc_id", "n", "ids"])
+                seq += j - i
 
     return ranged.select("part", "doc_id", "text").mapInArrow(pack, PACKED)
 
@@ -200,8 +333,9 @@ def frequencies(packed: DataFrame) -> DataFrame:
     def count(batches):
         total = np.zeros(0, dtype=np.int64)
         for b in batches:
-            for n, ids in zip(b.column("n").to_pylist(), b.column("ids").to_pylist()):
-                own = np.bincount(_unpacked(n, ids))
+            rows = zip(b.column("n").to_pylist(), b.column("ids").to_pylist())
+            while some := list(islice(rows, COUNT_ROWS)):
+                own = np.bincount(np.concatenate([_unpacked(n, ids) for n, ids in some]))
                 if len(own) > len(total):
                     total = np.pad(total, (0, len(own) - len(total)))
                 total[:len(own)] += own

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -70,6 +71,48 @@ def test_pieces_encode_as_whole_texts(texts):
     assert all("".join(tokens.PieceCoder.pieces(t)) == t for t in texts)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\t'.-<saZ0é×«漢\u00a0\u0085\u2009\u3000\u0301\x1c"), max_size=40), max_size=6))
+def test_forgotten_and_joined_pieces(texts):
+    small = tokens.PieceCoder(TOOL, np.dtype("<u2"), "small")
+    small.LIMIT, small.JOINED = 50, 3
+    whole = tokens.WholeCoder(TOOL, np.dtype("<u2"))
+    assert small.encode(texts) == whole.encode(texts)
+    # slices of a column with either width of offsets
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["left out", *texts, "left out"], kind).slice(1, len(texts))
+        for found, want in zip(small.column(column), whole.column(column)):
+            assert np.array_equal(found, want)
+
+
+def test_new_pieces_share_calls_of_the_library():
+    class Counted:
+        items = 0
+
+        def __getattr__(self, name):
+            return getattr(TOOL, name)
+
+        def encode_batch_fast(self, texts, **options):
+            self.items += len(texts)
+            return TOOL.encode_batch_fast(texts, **options)
+
+    tool = Counted()
+    texts = [" ".join(f"w{chr(97 + i % 26)}{i:x}" for i in range(k, k + 1000)) + ".\nEnd\tof it " for k in range(0, 9000, 500)]
+    coder = tokens.PieceCoder(tool, np.dtype("<u2"), "counted")
+    want = tokens.WholeCoder(TOOL, np.dtype("<u2")).encode(texts)
+    assert coder.encode(texts) == want
+    assert tool.items < 20  # 9,500 different words
+    before = tool.items
+    assert coder.encode(texts) == want and tool.items == before
+
+
+def test_vocabularies_without_all_bytes_stay_whole():
+    with open(PATH, encoding="utf-8") as f:
+        d = json.load(f)
+    del d["model"]["vocab"]["!"]
+    assert not tokens.cuts_at_spaces(json.dumps(d))
+
+
 def test_other_vocabularies_stay_whole():
     with open(PATH, encoding="utf-8") as f:
         assert tokens.cuts_at_spaces(f.read())
