@@ -133,6 +133,33 @@ def test_ward_of_ties_and_few_rows(spark):
         assert tree.merges == [] and tree.label(3).count() == n
 
 
+def test_ward_has_a_leaf_for_every_distinct_vector(spark):
+    """No number of distinct vectors turns the leaves into cells of many."""
+    x = np.random.default_rng(8).normal(size=(4400, 2)) + np.repeat([[0, 0], [40, 0], [0, 40], [40, 40]], 1100, axis=0)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    tree = ward.linkage(df)
+    assert len(tree.leaves) == 4400 and len(tree.merges) == 4399 and tree.merges[-1][3] == 4400
+    got = tree.label(4).toPandas().sort_values("id")
+    assert got.groupby(np.repeat(range(4), 1100))["cluster"].nunique().tolist() == [1] * 4 and got["cluster"].nunique() == 4
+
+
+def test_ward_over_blocks_merges_like_ward_in_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = np.vstack([np.round(rng.normal(size=(120, 3)), 1), rng.integers(0, 4, (60, 3)) + 5.0])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(180, x[0].tolist()), (181, None)], "id long, vec array<double>").repartition(3)
+    whole = ward.linkage(df)
+    monkeypatch.setattr(ward, "MOST", 9)
+    monkeypatch.setattr(ward, "BLOCK_ROWS", 16)
+    blocks = ward.linkage(df)
+    assert len(blocks.early) > 1 and not whole.early and len(blocks.late) < 9
+    place = [{leaf: i for i, leaf in enumerate(t.leaves)} for t in (whole, blocks)]
+    one, two = ([(at[a], at[b], n) for a, b, _, n in t.merges] for t, at in zip((whole, blocks), place))
+    assert one == two and np.allclose([m[2] for m in whole.merges], [m[2] for m in blocks.merges], rtol=1e-12)
+    for k in (1, 2, 5, 40, 500):
+        a, b = (t.label(k).toPandas().sort_values("id") for t in (whole, blocks))
+        assert a["cluster"].fillna(-1).tolist() == b["cluster"].fillna(-1).tolist() and a["cluster"].nunique() == min(k, len(whole.leaves))
+
+
 def test_ward_of_cluster_features(spark):
     rng = np.random.default_rng(6)
     x = np.vstack([rng.normal(size=(100, 2)) + c for c in ((0, 0), (30, 0), (0, 30))])
