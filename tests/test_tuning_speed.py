@@ -32,6 +32,36 @@ def test_small_tables_grow_in_one_job_not_task_after_task(spark):
     assert jobs(spark) - before < 24
 
 
+def test_tables_of_many_rows_need_no_pass_per_level(spark):
+    """Rows of equal bins are added up, and what is left grows in tasks."""
+    df = spark.range(70_000).selectExpr("id", "cast(id % 40 as double) a", "cast(id % 7 as double) b", "cast((id % 40) * (id % 7) + id % 3 as double) y")
+    df = models.assemble(df, ["a", "b"], ["id", "y"])
+    specs = [Spec(rounds=30, depth=3), Spec(growth="leaf", rounds=30, leaves=8), Spec(rounds=30, depth=3, subsample=0.5)]
+    for some in (specs[:2], specs):
+        before = jobs(spark)
+        fitted, plain = boosting.fit_many(df, "features", "y", some, ["a", "b"], "id")
+        assert jobs(spark) - before < 60 and plain.count() == 70_000
+        assert all(len(m.trees) == 30 and m.trees[0].feature[0] >= 0 for m in fitted)
+
+
+def test_cells_of_equal_bins_give_the_trees_of_single_rows(spark, monkeypatch):
+    """A spec that draws rows keeps the rows single; the others of the same call learn the same from either."""
+    df = spark.range(600).selectExpr("id", "cast(id % 9 as double) a", "cast(id % 5 as double) b", "cast((id % 9) * (id % 5) + id % 4 > 9 as double) y",
+                                     "cast(id % 3 as int) fold", "1.0D + id % 2 w")
+    df = models.assemble(df, ["a", "b"], ["id", "y", "fold", "w"])
+    specs = [Spec(rounds=4, depth=3, loss="logistic", held_out=1), Spec(growth="leaf", rounds=4, leaves=6, weight="w", min_leaf=7), Spec(growth="oblivious", rounds=4, depth=3)]
+    found = []
+    for local_rows in (1 << 20, 0):
+        monkeypatch.setattr(boosting, "LOCAL_ROWS", local_rows)
+        for more in ([], [Spec(rounds=1, depth=1, subsample=0.5)]):
+            found.append(boosting.fit_many(df, "features", "y", specs + more, ["a", "b"], "id", "fold")[0][:3])
+    for other in found[1:]:
+        for u, v in zip(found[0], other):
+            for s, t in zip(u.trees, v.trees):
+                assert (s.feature, s.cut, s.left, s.right) == (t.feature, t.cut, t.left, t.right)
+                assert np.allclose(s.value, t.value)
+
+
 def test_trees_of_tasks_and_of_passes_agree_in_every_growth(spark, monkeypatch):
     df = models.assemble(table(spark), ["a", "b"], ["id", "y"])
     specs = [
