@@ -124,3 +124,21 @@ def test_a_sweep_takes_distances_once(spark, monkeypatch):
     assert [len(a) for a in asked] == [2, 2] and all(-1 <= s <= 1 for s in [*got.values(), *both.values()])
     model = segments.fit_kmeans(df, 3, restarts=2)
     assert abs(cluster.silhouette(segments.label_rows(model, df), "id").first()["silhouette"] - got[3]) < 1e-12
+
+
+def test_a_sweep_reads_equal_vectors_once_and_clusters_once(spark, monkeypatch):
+    from paceframe.operators import cluster, kmeans
+    from paceframe.plans import segments
+
+    rows = [(i, [float(i % 5), float(i % 3)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>")
+    read, spread = [], []
+    monkeypatch.setattr(kmeans, "_sums", lambda r, c, own=kmeans._sums: read.append(r.count()) or own(r, c))
+    monkeypatch.setattr(cluster, "_spread", lambda *a, own=cluster._spread: spread.append(a) or own(*a))
+    got = {r["k"]: r for r in segments.sweep(df, "id", (2, 3), restarts=2).collect()}
+    assert set(read) == {15} and len(spread) == 2
+    for k in (2, 3):
+        model = kmeans.fit_many(df, [k], restarts=2)[k]
+        labelled = segments.label_rows(model, df)
+        assert abs(got[k]["inertia"] - model.cost) < 1e-9 and abs(cluster.inertia(labelled).first()[0] - model.cost) < 1e-9
+        assert abs(cluster.davies_bouldin(labelled).first()[0] - got[k]["davies_bouldin"]) < 1e-9
