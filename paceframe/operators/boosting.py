@@ -86,11 +86,14 @@ def leaf_of(tree: tuple[np.ndarray, ...], bins: np.ndarray) -> np.ndarray:
     at = np.zeros(len(bins), dtype=np.int64)
     if feature[0] < 0:
         return at
-    moving = np.arange(len(bins))
-    while len(moving):
-        node = at[moving]
-        at[moving] = np.where(bins[moving, feature[node]] <= cut[node], left[node], right[node])
-        moving = moving[feature[at[moving]] >= 0]
+    # a leaf leads to itself; children come after their parent
+    leaf, depth = feature < 0, np.zeros(len(feature), dtype=np.int64)
+    child = np.where(leaf, np.arange(len(feature)), (left, right)).T.ravel()
+    for n in np.flatnonzero(~leaf).tolist():
+        depth[left[n]] = depth[right[n]] = depth[n] + 1
+    feature, flat, first = np.maximum(feature, 0), bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+    for _ in range(depth.max()):
+        at = child.take(2 * at + (flat.take(first + feature.take(at)) > cut.take(at)))
     return at
 
 
